@@ -120,7 +120,13 @@ LEFT JOIN stg_products p ON oi.product_id = p.product_id""",
     "stg_order_items", "stg_orders", "stg_products")
 
 
-def sessionized_sql(timeout: int = 30) -> str:
+def sessionized_sql(timeout: int = 30, read_window: tuple[str, str] | None = None,
+                    out_window: tuple[str, str] | None = None) -> str:
+    """Sessionization in one window per user (the textbook form)."""
+    read = (f" AND event_date BETWEEN DATE '{read_window[0]}' AND DATE '{read_window[1]}'"
+            if read_window else "")
+    out = (f" WHERE event_date BETWEEN DATE '{out_window[0]}' AND DATE '{out_window[1]}'"
+           if out_window else "")
     return f"""
 SELECT event_key, event_id, user_id,
        cast(user_id AS varchar) || '-' || strftime(session_started_at, '%Y%m%d%H%M%S') AS session_id,
@@ -139,10 +145,10 @@ FROM (
              uri, event_at, event_date,
              date_sub('minute', lag(event_at) OVER (PARTITION BY user_id ORDER BY event_at, event_key),
                       event_at) AS minutes_since_prev_event
-      FROM stg_events WHERE user_id IS NOT NULL
+      FROM stg_events WHERE user_id IS NOT NULL{read}
     ) g
   ) f
-) s"""
+) s{out}"""
 
 
 cte("int_events_sessionized", sessionized_sql(30), "stg_events")
@@ -209,7 +215,8 @@ SELECT o.order_key, o.order_id, o.user_id, o.order_status, o.user_gender_at_orde
 FROM stg_orders o LEFT JOIN order_item_rollup r ON o.order_key = r.order_key""",
     "stg_orders", "order_item_rollup")
 
-cte("fct_sessions", """
+def sessions_sql(source: str) -> str:
+    return f"""
 SELECT session_id, user_id, session_started_at, session_ended_at,
        cast(session_started_at AS date) AS session_date,
        date_sub('second', session_started_at, session_ended_at) AS session_duration_seconds,
@@ -228,9 +235,12 @@ FROM (
          count_if(event_type = 'purchase') > 0 AS purchased,
          count_if(event_type = 'cancel') > 0 AS cancelled,
          count(DISTINCT source_session_id) AS source_session_id_count
-  FROM int_events_sessionized
+  FROM {source}
   GROUP BY session_id, user_id
-) r""", "int_events_sessionized")
+) r"""
+
+
+cte("fct_sessions", sessions_sql("int_events_sessionized"), "int_events_sessionized")
 
 cte("fct_user_events", """
 SELECT event_key, event_id, user_id, session_id, event_type, traffic_source, browser, uri,
