@@ -22,6 +22,12 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_RO
     return F.broadcast(df) if n <= max_rows else df
 
 
+def join_to_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
+                      max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Fact ⋈ dimension with the dimension broadcast when its size is proven."""
+    return fact.join(broadcast_if_bounded(dim, max_rows), on, how)
+
+
 def asof_join(facts: DataFrame, history: DataFrame, key: str, ts: str,
               valid_from: str = "valid_from", valid_to: str = "valid_to",
               how: str = "left") -> DataFrame:

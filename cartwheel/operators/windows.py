@@ -35,6 +35,26 @@ def year_over_year(current: DataFrame, base: DataFrame, keys: list[str], date: s
             .drop("_prior_date"))
 
 
+def year_over_year_window(df: DataFrame, keys: list[str], date: str, value: str,
+                          base_name: str) -> DataFrame:
+    """Year-ago value of the same keys, read with two exact-offset RANGE frames
+    instead of a self-join (so the input is evaluated once).
+
+    ``add_months(d, -12)`` is always d - 365 or d - 366 days (Feb 29 maps to
+    Feb 28, so Feb 28 and Feb 29 of a leap year share one base day); the frame
+    at the matching offset holds the prior day's row, or nothing. Requires one
+    row per (keys, date).
+    """
+    day = F.unix_date(F.col(date))
+    w = Window.partitionBy(*keys).orderBy(day)
+    at365 = F.max(value).over(w.rangeBetween(-365, -365))
+    at366 = F.max(value).over(w.rangeBetween(-366, -366))
+    prior = F.add_months(F.col(date), -12)
+    return df.withColumn(base_name,
+                         F.when(prior == F.date_sub(F.col(date), 365), at365)
+                         .when(prior == F.date_sub(F.col(date), 366), at366))
+
+
 def weekday_baseline(daily: DataFrame, date: str = "ordered_date", value: str = "order_count",
                      weeks: int = 12) -> DataFrame:
     """Average, sample stddev and count of the same weekday over the previous

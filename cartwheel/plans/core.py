@@ -9,7 +9,6 @@ from cartwheel.functions.exprs import (age_group, days_between, email_domain, em
                                        guarded_rate, month_start, recognized_or_zero,
                                        whole_units_between)
 from cartwheel.functions.exprs import money
-from cartwheel.operators.joins import broadcast_if_bounded
 from cartwheel.operators.rollups import order_item_rollup, session_rollup
 from cartwheel.functions.exprs import in_window
 from cartwheel.params import Params
@@ -20,8 +19,9 @@ def dim_distribution_centers(stg_dc: DataFrame) -> DataFrame:
 
 
 def dim_products(stg_products: DataFrame, stg_dc: DataFrame) -> DataFrame:
-    """Current products + list margin + centre name (J4: tiny side, size-checked broadcast)."""
-    dc = broadcast_if_bounded(stg_dc.select("distribution_center_id", "distribution_center_name"))
+    """Current products + list margin + centre name (J4: the centre side is tiny;
+    Spark's size-checked broadcast picks it up)."""
+    dc = stg_dc.select("distribution_center_id", "distribution_center_name")
     return (stg_products.join(dc, "distribution_center_id", "left")
             .select("product_id", "product_name", "brand_name", "category_name", "department_name",
                     "sku", "unit_cost", "retail_price",

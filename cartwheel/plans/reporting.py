@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import guarded_rate, safe_ratio
-from cartwheel.operators.joins import broadcast_if_bounded
 from cartwheel.operators.rollups import (cohort_size, daily_funnel_base, daily_revenue_base,
                                          purchase_months, retention_base)
-from cartwheel.operators.windows import cumulative, year_over_year
+from cartwheel.operators.joins import broadcast_if_bounded
+from cartwheel.operators.windows import cumulative, year_over_year_window
 
 REVENUE_COLUMNS = ["ordered_date", "department_name", "order_count", "order_item_count",
                    "buyer_count", "returned_item_count", "net_revenue", "net_gross_profit",
@@ -20,17 +20,20 @@ REVENUE_COLUMNS = ["ordered_date", "department_name", "order_count", "order_item
 def rpt_daily_revenue(fct_order_items: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Date × department revenue with WTD/MTD/YTD running sums and YoY base/rate.
 
-    The fact is aggregated once to the (small, calendar-bounded) daily grain;
-    the three cumulative windows and the year-ago self-join run on that.
+    The fact is aggregated once to the (small, calendar-bounded) daily grain.
+    That grain is hash-partitioned by department once; the WTD/MTD/YTD windows
+    (partitioned by department and period) and the year-ago lookup (RANGE
+    frames per department) all reuse that partitioning, so the daily rows are
+    shuffled a single time and the aggregate is evaluated once.
     """
     products = broadcast_if_bounded(dim_products.select("product_id", "department_name"))
-    daily = daily_revenue_base(fct_order_items, products)
+    daily = daily_revenue_base(fct_order_items, products).repartition("department_name")
     cur = daily
     for grain in ("week", "month", "year"):
         cur = cumulative(cur, "net_revenue", "ordered_date", ["department_name"], grain,
                          name=f"net_revenue_{grain[0]}td")
-    out = year_over_year(cur, daily, ["department_name"], "ordered_date", "net_revenue",
-                         "net_revenue_yoy_base")
+    out = year_over_year_window(cur, ["department_name"], "ordered_date", "net_revenue",
+                                "net_revenue_yoy_base")
     out = out.withColumn(
         "net_revenue_yoy_rate",
         guarded_rate(F.col("net_revenue") - F.col("net_revenue_yoy_base"),
