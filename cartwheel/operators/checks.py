@@ -156,8 +156,11 @@ def enforce_contract(df: DataFrame, contract: StructType, not_null: Iterable[str
         return out
     ok = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in nn])
     msg = "not-null contract violated on one of: " + ", ".join(nn)
-    return (out.withColumn("_contract_ok", F.assert_true(ok, F.lit(msg)))
-            .drop("_contract_ok"))
+    # assert_true yields NULL or raises; folding it into a carried column keeps
+    # column pruning from removing the assertion.
+    first = nn[0]
+    guarded = F.coalesce(F.assert_true(ok, F.lit(msg)).cast(expected[first]), F.col(first))
+    return out.withColumn(first, guarded)
 
 
 # ---------------------------------------------------------------- freshness (Q14, Q17)

@@ -41,7 +41,11 @@ def _layout(df: DataFrame, partition_by: str | None, cluster_by: tuple[str, ...]
     across several tasks but each task still writes few files, then sort inside
     each task by the cluster columns so Parquet min/max stats prune row groups."""
     if partition_by:
-        return df.repartitionByRange(partition_by, *cluster_by).sortWithinPartitions(partition_by, *cluster_by)
+        # An explicit count keeps AQE from coalescing this exchange into one
+        # task that would then write every day's file alone.
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return (df.repartitionByRange(n, partition_by, *cluster_by)
+                .sortWithinPartitions(partition_by, *cluster_by))
     if cluster_by:
         return df.sortWithinPartitions(*cluster_by)
     return df
@@ -97,8 +101,11 @@ def write_incremental(spark: SparkSession, df: DataFrame, path: str, partition_b
         write_table(df, path, partition_by, cluster_by)
         return "full"
     existing = spark.read.parquet(path)
-    if [f.name for f in existing.schema.fields] != df.columns or \
-            {f.name: f.dataType for f in existing.schema.fields} != {f.name: f.dataType for f in df.schema.fields}:
+    # The partition column comes back last and with a type inferred from the
+    # directory names: compare it by name only.
+    old_types = {f.name: f.dataType for f in existing.schema.fields if f.name != partition_by}
+    new_types = {f.name: f.dataType for f in df.schema.fields if f.name != partition_by}
+    if set(existing.columns) != set(df.columns) or old_types != new_types:
         touched = df.select(partition_by).distinct()
         kept = existing.join(touched, partition_by, "left_anti")
         synced = materialize(sync_columns(kept, df).unionByName(df))

@@ -73,8 +73,8 @@ def fct_order_items(enriched: DataFrame) -> DataFrame:
         "shipped_at",
         "delivered_at",
         "returned_at",
-        days_between("shipped_at", "ordered_date").alias("days_to_ship"),
-        days_between("delivered_at", "ordered_date").alias("days_to_deliver"),
+        days_between("shipped_at", "ordered_date").cast("long").alias("days_to_ship"),
+        days_between("delivered_at", "ordered_date").cast("long").alias("days_to_deliver"),
     )
 
 

@@ -23,6 +23,7 @@ from cartwheel.operators.writers import (materialize, read_table, store_failures
                                          write_incremental, write_table)
 from cartwheel.params import Params
 from cartwheel.plans import core, intermediate, reporting, staging
+from cartwheel.plans.contracts import CONTRACTS
 from cartwheel.plans.declared_checks import DECLARED_CHECKS
 from cartwheel.sources.loads import read_landed, run_loads
 from cartwheel.sources.registry import TABLES
@@ -69,7 +70,12 @@ class DailyRun:
                                       lookback=self.params.lookback_days, ingested_at=self.now)
 
     def raw(self, name: str) -> DataFrame:
-        return read_landed(self.spark, f"{self.root}/raw", name)
+        """Landed table, read once per run: the frame keeps its file index, so
+        the (possibly thousands of) day directories are listed once."""
+        key = f"raw:{name}"
+        if key not in self.frames:
+            self.frames[key] = read_landed(self.spark, f"{self.root}/raw", name)
+        return self.frames[key]
 
     def freshness(self) -> None:
         """Observation only: recorded, never blocks the build (Q17)."""
@@ -86,6 +92,9 @@ class DailyRun:
         write_table(materialize(new), path)
 
     def _materialize(self, name: str, df: DataFrame) -> DataFrame:
+        if name in CONTRACTS:
+            schema, not_null = CONTRACTS[name]
+            df = Q.enforce_contract(df, schema, not_null)
         part, cluster = LAYOUT[name]
         path = f"{self.root}/{name}"
         if name in INCREMENTAL and part:
@@ -117,7 +126,7 @@ class DailyRun:
     def build_staging(self) -> None:
         for src, builder in staging.BUILDERS.items():
             self.frames[f"stg_{src}"] = builder(self.raw(src))
-        self._check([n for n in self.frames if n.startswith("stg_")])
+        self._check([f"stg_{src}" for src in staging.BUILDERS])
 
     def build_intermediate(self) -> None:
         f = self.frames

@@ -186,8 +186,8 @@ SELECT order_item_key, order_key, order_item_id, order_id, user_id, product_id,
        cast(CASE WHEN is_revenue_recognized THEN gross_profit ELSE 0 END AS decimal(18,9))
            AS net_gross_profit,
        ordered_at, ordered_date, shipped_at, delivered_at, returned_at,
-       cast(date_diff('day', ordered_date, cast(shipped_at AS date)) AS integer) AS days_to_ship,
-       cast(date_diff('day', ordered_date, cast(delivered_at AS date)) AS integer) AS days_to_deliver
+       cast(date_diff('day', ordered_date, cast(shipped_at AS date)) AS bigint) AS days_to_ship,
+       cast(date_diff('day', ordered_date, cast(delivered_at AS date)) AS bigint) AS days_to_deliver
 FROM int_order_items_enriched""", "int_order_items_enriched")
 
 cte("order_item_rollup", """

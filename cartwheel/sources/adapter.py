@@ -43,7 +43,7 @@ FROM {{orders}}
 """,
     "order_items": f"""
 SELECT
-    l.l_linenumber AS id,
+    CAST(l.l_linenumber AS BIGINT) AS id,
     l.l_orderkey AS order_id,
     o.o_custkey AS user_id,
     l.l_partkey AS product_id,
