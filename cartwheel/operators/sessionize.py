@@ -10,15 +10,15 @@ Physical plan, built for a user that may own a third of all events: events
 are partitioned by (user, time bucket), not by user, so one user's history is
 spread over many tasks. Bucket boundaries are stitched with per-bucket
 summaries (one row per user × bucket: bounded by the time span, not by the
-event count):
-  1. lag() inside each bucket; the first event of a bucket takes the last
-     event time of the user's previous non-empty bucket from the summary;
-  2. the start flag follows from the gap;
-  3. the latest start inside the bucket is carried with last(ignore nulls);
-     events before the bucket's first start take the latest start of earlier
-     buckets, again from a summary.
-The large side is shuffled once, by (user, bucket); summaries are grouped on
-the same keys (no extra shuffle) and joined back on them.
+event count), built from a narrow (user, bucket, time) projection:
+  1. lag() inside each bucket gives every gap except the bucket's first;
+     the first event's predecessor is the previous non-empty bucket's last
+     event (summary);
+  2. starts inside a bucket are carried with last(ignore nulls); events before
+     the bucket's first inner start take the bucket's first event (if it
+     starts a session) or the latest start of earlier buckets (summary).
+The wide event rows are shuffled once, by (user, bucket), and sorted once;
+the summaries join on the same keys.
 """
 
 from __future__ import annotations
@@ -59,42 +59,68 @@ def sessionize(stg_events: DataFrame, params: Params | None = None, incremental:
     return out.select(*OUTPUT_COLUMNS)
 
 
+def bucket_summaries(events: DataFrame, timeout_minutes: int, bucket_seconds: int,
+                     user: str = "user_id", ts: str = "event_at") -> DataFrame:
+    """One row per (user, bucket): the state a bucket needs from the user's
+    earlier buckets, computed from a narrow projection (user, bucket, time).
+
+    _prev_last      last event time of the previous non-empty bucket
+    _first_ts       first event time in the bucket
+    _first_starts   whether that first event starts a session
+    _incoming_start latest session start of all earlier buckets
+    Only event times matter here: events tied at one instant have a 0 gap, so
+    the tie order (by key) never changes which instants start a session.
+    """
+    in_bucket = Window.partitionBy(user, "_bucket").orderBy(ts)
+    by_bucket = Window.partitionBy(user).orderBy("_bucket")
+    narrow = events.select(user, ts, F.floor(F.unix_seconds(F.col(ts)) / bucket_seconds).alias("_bucket"))
+    gap = whole_units_between("MINUTE", F.lag(ts).over(in_bucket), F.col(ts))
+    local = narrow.withColumn("_local_start", F.when(gap > timeout_minutes, F.col(ts)))
+    per_bucket = local.groupBy(user, "_bucket").agg(F.min(ts).alias("_first_ts"),
+                                                    F.max(ts).alias("_last_ts"),
+                                                    F.max("_local_start").alias("_last_local_start"))
+    prev_last = F.lag("_last_ts").over(by_bucket)
+    first_gap = whole_units_between("MINUTE", F.col("_prev_last"), F.col("_first_ts"))
+    out = (per_bucket.withColumn("_prev_last", prev_last)
+           .withColumn("_first_starts", F.col("_prev_last").isNull() | (first_gap > timeout_minutes))
+           .withColumn("_bucket_last_start",
+                       F.coalesce("_last_local_start", F.when(F.col("_first_starts"), F.col("_first_ts"))))
+           .withColumn("_incoming_start",
+                       F.last("_bucket_last_start", ignorenulls=True).over(
+                           by_bucket.rowsBetween(Window.unboundedPreceding, -1))))
+    return out.select(user, "_bucket", "_prev_last", "_first_ts", "_first_starts", "_incoming_start")
+
+
 def assign_sessions(events: DataFrame, timeout_minutes: int, bucket_seconds: int = 3600,
                     user: str = "user_id", ts: str = "event_at", tiebreak: str = "event_key") -> DataFrame:
-    """Add minutes_since_prev_event, is_session_start, session_started_at, session_id."""
-    keys = [user, "_bucket"]
-    in_bucket = Window.partitionBy(*keys).orderBy(ts, tiebreak)
-    by_bucket = Window.partitionBy(user).orderBy("_bucket")
+    """Add minutes_since_prev_event, is_session_start, session_started_at, session_id.
 
+    The event rows are shuffled once, by (user, bucket), and sorted once; the
+    bucket summaries (one small row per user × bucket) are joined on the same
+    keys, so the events are not moved again.
+    """
+    in_bucket = Window.partitionBy(user, "_bucket").orderBy(ts, tiebreak)
+    summaries = bucket_summaries(events, timeout_minutes, bucket_seconds, user, ts)
     ev = events.withColumn("_bucket", F.floor(F.unix_seconds(F.col(ts)) / bucket_seconds))
     ev = ev.withColumn("_prev_in_bucket", F.lag(ts).over(in_bucket))
-
-    # Last event time of the user's previous non-empty bucket.
-    last_of_bucket = (ev.groupBy(*keys).agg(F.max(ts).alias("_bucket_last"))
-                      .withColumn("_prev_bucket_last", F.lag("_bucket_last").over(by_bucket))
-                      .drop("_bucket_last"))
-    ev = ev.join(last_of_bucket, keys, "left")
-    prev = F.coalesce(F.col("_prev_in_bucket"), F.col("_prev_bucket_last"))
-    ev = (ev.withColumn("minutes_since_prev_event", whole_units_between("MINUTE", prev, F.col(ts)))
+    in_gap = whole_units_between("MINUTE", F.col("_prev_in_bucket"), F.col(ts))
+    ev = ev.withColumn("_local_start",
+                       F.last(F.when(in_gap > timeout_minutes, F.col(ts)), ignorenulls=True).over(
+                           in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ev = ev.join(summaries, [user, "_bucket"], "left")
+    first = F.col("_prev_in_bucket").isNull()
+    gap = F.when(first, whole_units_between("MINUTE", F.col("_prev_last"), F.col(ts))).otherwise(in_gap)
+    ev = (ev.withColumn("minutes_since_prev_event", gap)
             .withColumn("is_session_start",
                         F.when(F.col("minutes_since_prev_event").isNull()
                                | (F.col("minutes_since_prev_event") > timeout_minutes), 1)
                         .otherwise(0).cast("int"))
-            .drop("_prev_in_bucket", "_prev_bucket_last"))
-
-    start_ts = F.when(F.col("is_session_start") == 1, F.col(ts))
-    # Latest session start of all earlier buckets of the user.
-    last_start = (ev.groupBy(*keys).agg(F.max(start_ts).alias("_bucket_last_start"))
-                  .withColumn("_incoming_start",
-                              F.last("_bucket_last_start", ignorenulls=True).over(
-                                  by_bucket.rowsBetween(Window.unboundedPreceding, -1)))
-                  .drop("_bucket_last_start"))
-    ev = ev.join(last_start, keys, "left")
-    local_start = F.last(start_ts, ignorenulls=True).over(
-        in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ev = ev.withColumn("session_started_at", F.coalesce(local_start, F.col("_incoming_start")))
+            .withColumn("session_started_at",
+                        F.coalesce("_local_start", F.when(F.col("_first_starts"), F.col("_first_ts")),
+                                   "_incoming_start")))
     return (ev.withColumn("session_id", session_id(user, "session_started_at"))
-              .drop("_bucket", "_incoming_start"))
+              .drop("_bucket", "_prev_in_bucket", "_local_start", "_prev_last", "_first_ts",
+                    "_first_starts", "_incoming_start"))
 
 
 def assign_sessions_single_window(events: DataFrame, timeout_minutes: int,
