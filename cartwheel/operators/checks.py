@@ -4,9 +4,8 @@ zero rows means pass.
 Generic checks (not_null, unique, accepted_values, relationships,
 expression_is_true, unique combination) are DataFrame → DataFrame functions.
 ``declared_check_counts`` runs a whole list of declared checks and returns one
-row per check with its failure count; row-level checks on one model are fused
-into a single aggregate (one scan per model), uniqueness checks are grouped
-aggregates and relationships are anti joins against the deduplicated parent.
+row per check with its failure count, reading every model once and evaluating
+all checks in a single aggregation over tagged (check, key) records.
 """
 
 from __future__ import annotations
@@ -228,39 +227,77 @@ def _row_failure(spec: CheckSpec) -> Column:
     raise ValueError(spec.kind)
 
 
+def _key(cols: tuple[str, ...]) -> Column:
+    if len(cols) == 1:
+        return F.col(cols[0]).cast("string")
+    return F.to_json(F.struct(*[F.col(c) for c in cols]))
+
+
+ROW, UNIQ, CHILD, PARENT = 0, 1, 2, 3
+
+
+def _tags(model: str, specs: list[CheckSpec]) -> list[Column]:
+    """The check records one row of ``model`` contributes: (check id, kind, key, n)."""
+    tags = []
+
+    def tag(i, kind, key, n, keep=None):
+        t = F.struct(F.lit(i).cast("int").alias("check_id"), F.lit(kind).cast("byte").alias("kind"),
+                     key.alias("key"), F.lit(n).cast("long").alias("n") if isinstance(n, int) else n.alias("n"))
+        tags.append(t if keep is None else F.when(keep, t))
+
+    for i, s in enumerate(specs):
+        if s.model == model and s.kind in ("not_null", "accepted_values", "expression"):
+            tag(i, ROW, F.lit(None).cast("string"), F.when(_row_failure(s), 1).otherwise(0).cast("long"))
+        elif s.model == model and s.kind == "unique":
+            tag(i, UNIQ, _key((s.column,)), 1, F.col(s.column).isNotNull())
+        elif s.model == model and s.kind == "unique_combination":
+            tag(i, UNIQ, _key(tuple(s.args)), 1)
+        if s.kind == "relationships":
+            parent, field_ = s.args
+            if s.model == model:
+                tag(i, CHILD, _key((s.column,)), 1, F.col(s.column).isNotNull())
+            if parent == model:
+                tag(i, PARENT, _key((field_,)), 0, F.col(field_).isNotNull())
+    return tags
+
+
 def declared_check_counts(specs: Iterable[CheckSpec], models: Callable[[str], DataFrame]) -> DataFrame:
     """One row per declared check: (check_name, model, kind, severity, failures).
 
-    Row-level checks of one model are fused into a single aggregate (count_if
-    per check), so each model is scanned once for them.
+    Every model is read once: each of its rows emits one small record per check
+    it takes part in (row-level outcome, unique key, relationship child or
+    parent key), tagged with an integer check id. One aggregation over
+    (check, key) then evaluates all checks:
+      row-level     failures = failing rows
+      unique        failures = keys seen more than once
+      relationships failures = child rows whose key has no parent row
+    The aggregates are sums and maxima, so a hot key is combined map-side
+    before the shuffle.
     """
     specs = list(specs)
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[CheckSpec]] = {}
-    for s in specs:
-        if s.kind in ("not_null", "accepted_values", "expression"):
-            by_model.setdefault(s.model, []).append(s)
-    for model, ss in by_model.items():
-        agg = models(model).agg(*[F.count_if(_row_failure(s)).alias(f"c{i}") for i, s in enumerate(ss)])
-        stack = ", ".join(f"'{s.name}', c{i}" for i, s in enumerate(ss))
-        parts.append(agg.selectExpr(f"stack({len(ss)}, {stack}) AS (check_name, failures)"))
-    for s in specs:
-        if s.kind in ("unique", "unique_combination"):
-            cols = (s.column,) if s.kind == "unique" else s.args
-            fails = check_unique(models(s.model), *cols)
-        elif s.kind == "relationships":
-            parent, parent_field = s.args
-            fails = check_relationships(models(s.model), s.column, models(parent), parent_field)
-        else:
-            continue
-        parts.append(fails.agg(F.count(F.lit(1)).alias("failures"))
-                     .select(F.lit(s.name).alias("check_name"), "failures"))
-    counts = reduce(DataFrame.unionByName, parts)
-    meta = counts.sparkSession.createDataFrame(
-        [(s.name, s.model, s.kind, s.severity) for s in specs],
-        "check_name string, model string, kind string, severity string")
-    return meta.join(counts, "check_name", "left").select(
-        "check_name", "model", "kind", "severity", F.col("failures").cast("bigint").alias("failures"))
+    involved = sorted({s.model for s in specs} | {s.args[0] for s in specs if s.kind == "relationships"})
+    parts = []
+    for m in involved:
+        tags = _tags(m, specs)
+        if tags:
+            parts.append(models(m).select(F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull()))
+                                          .alias("t")).select("t.*"))
+    records = reduce(DataFrame.unionByName, parts)
+    is_parent = F.col("kind") == PARENT
+    per_key = (records.groupBy("check_id", "key")
+               .agg(F.max(F.when(~is_parent, F.col("kind"))).alias("kind"),
+                    F.sum(F.when(~is_parent, F.col("n"))).alias("n"),
+                    F.max(is_parent.cast("int")).alias("has_parent")))
+    failures = F.when(F.col("kind") == ROW, F.col("n")) \
+        .when(F.col("kind") == UNIQ, F.when(F.col("n") > 1, 1).otherwise(0)) \
+        .when(F.col("kind") == CHILD, F.when(F.col("has_parent") == 0, F.col("n")).otherwise(0))
+    counts = per_key.groupBy("check_id").agg(F.sum(failures).alias("failures"))
+    spark = counts.sparkSession
+    meta = spark.createDataFrame([(i, s.name, s.model, s.kind, s.severity) for i, s in enumerate(specs)],
+                                 "check_id int, check_name string, model string, kind string, severity string")
+    return F.broadcast(meta).join(counts, "check_id", "left").select(
+        "check_name", "model", "kind", "severity",
+        F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"))
 
 
 # ---------------------------------------------------------------- runner (Q15, Q16)
