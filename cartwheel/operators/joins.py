@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 # A dimension side is broadcast only when it provably has at most this many
 # rows. Dimensions are projected to their join key plus a few attributes
-# before the check, so 2M rows stays well under a few hundred MB per executor.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# before the check (≈100–200 bytes a row), so the bound keeps a broadcast
+# well under a few hundred MB per executor.
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` when df has at most ``max_rows`` rows, else df.
 
-    The check reads at most ``max_rows + 1`` rows (a limit stops the scan
-    early); beyond the bound the join falls back to a shuffle join, which AQE
-    may still demote to a broadcast once it has measured the real size.
+    The check is a distributed count (partial counts per task, one number to
+    the driver), so it stays cheap even when the side turns out to be large;
+    beyond the bound the join falls back to a shuffle join, which AQE may
+    still demote to a broadcast once it has measured the real size.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def join_to_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
