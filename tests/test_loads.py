@@ -84,3 +84,13 @@ def test_registry_strategies():
     assert TABLES_BY_NAME["users"].strategy == "full_replace"
     assert TABLES_BY_NAME["products"].strategy == "merge_insert_only"
     assert TABLES_BY_NAME["orders"].primary_key == "order_id"
+
+
+def test_cli_unknown_table_exits_2(spark, tmp_path, capsys):
+    from cartwheel.jobs import main
+    assert main(["load", "--source-dir", "/nonexistent", "--root", str(tmp_path),
+                 "--tables", "orders,nope"], spark=spark) == 2
+    assert "nope" in capsys.readouterr().err
+    assert main(["load", "--source-dir", "/root/testdata/sf0.001", "--root", str(tmp_path),
+                 "--tables", "users", "--dry-run"], spark=spark) == 0
+    assert not (tmp_path / "raw").exists()
