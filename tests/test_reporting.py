@@ -69,3 +69,19 @@ def test_exact_rate_rounds_ties_half_up(spark):
                                "n decimal(38,9), d long")
     got = [r[0] for r in df.select(guarded_rate("n", "d")).collect()]
     assert got == [Decimal("23867.2013"), None, Decimal("-0.0002")]
+
+
+def test_properties_on_driver_data(spark):
+    """SURVEY §5: Σ session event_count = logged-in events; MTD on the last day
+    of each month = that month's sum; reporting grains unique."""
+    from cartwheel.plans.models import Models
+    from conftest import SF_SMALL
+    m = Models(spark, SF_SMALL)
+    logged_in = m.stg_events.where("user_id IS NOT NULL").count()
+    assert m.fct_sessions.agg(F.sum("event_count")).first()[0] == logged_in
+    r = m.rpt_daily_revenue
+    last = (r.groupBy("department_name", F.trunc("ordered_date", "month").alias("m"))
+            .agg(F.max_by("net_revenue_mtd", "ordered_date").alias("mtd_end"),
+                 F.sum("net_revenue").alias("month_sum")))
+    assert last.where("mtd_end != month_sum").count() == 0
+    assert r.groupBy("ordered_date", "department_name").count().where("count > 1").count() == 0
