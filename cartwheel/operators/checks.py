@@ -216,49 +216,62 @@ class CheckSpec:
         return f"{self.kind}__{self.model}__{col}"
 
 
-def _row_failure(spec: CheckSpec) -> Column:
-    c = F.col(spec.column)
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
+
+
+def _key_sql(cols: tuple[str, ...]) -> str:
+    if len(cols) == 1:
+        return f"CAST({_q(cols[0])} AS STRING)"
+    return "to_json(struct(" + ", ".join(_q(c) for c in cols) + "))"
+
+
+def _failure_sql(spec: CheckSpec) -> str:
+    c = _q(spec.column)
     if spec.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if spec.kind == "accepted_values":
-        return ~c.isin(*spec.args)
+        return f"NOT ({c} IN ({', '.join(_lit(v) for v in spec.args)}))"
     if spec.kind == "expression":
-        return ~F.expr(f"{spec.column} {spec.args[0]}")
+        return f"NOT ({c} {spec.args[0]})"
     raise ValueError(spec.kind)
 
 
-def _key(cols: tuple[str, ...]) -> Column:
-    if len(cols) == 1:
-        return F.col(cols[0]).cast("string")
-    return F.to_json(F.struct(*[F.col(c) for c in cols]))
-
-
 ROW, UNIQ, CHILD, PARENT = 0, 1, 2, 3
 
 
-def _tags(model: str, specs: list[CheckSpec]) -> list[Column]:
-    """The check records one row of ``model`` contributes: (check id, kind, key, n)."""
+def _tags(model: str, specs: list[CheckSpec]) -> str | None:
+    """SQL for the array of check records one row of ``model`` contributes:
+    (check id, kind, key, n); NULL entries are dropped by the caller. Built as
+    one expression string so a model's tags cost one parse, not hundreds of
+    JVM calls."""
     tags = []
 
     def tag(i, kind, key, n, keep=None):
-        t = F.struct(F.lit(i).cast("int").alias("check_id"), F.lit(kind).cast("byte").alias("kind"),
-                     key.alias("key"), F.lit(n).cast("long").alias("n") if isinstance(n, int) else n.alias("n"))
-        tags.append(t if keep is None else F.when(keep, t))
+        t = (f"named_struct('check_id', {i}, 'kind', CAST({kind} AS TINYINT), "
+             f"'key', {key}, 'n', CAST({n} AS BIGINT))")
+        tags.append(t if keep is None else f"CASE WHEN {keep} THEN {t} END")
 
     for i, s in enumerate(specs):
         if s.model == model and s.kind in ("not_null", "accepted_values", "expression"):
-            tag(i, ROW, F.lit(None).cast("string"), F.when(_row_failure(s), 1).otherwise(0).cast("long"))
+            tag(i, ROW, "CAST(NULL AS STRING)", f"CASE WHEN {_failure_sql(s)} THEN 1 ELSE 0 END")
         elif s.model == model and s.kind == "unique":
-            tag(i, UNIQ, _key((s.column,)), 1, F.col(s.column).isNotNull())
+            tag(i, UNIQ, _key_sql((s.column,)), 1, f"{_q(s.column)} IS NOT NULL")
         elif s.model == model and s.kind == "unique_combination":
-            tag(i, UNIQ, _key(tuple(s.args)), 1)
+            tag(i, UNIQ, _key_sql(tuple(s.args)), 1)
         if s.kind == "relationships":
             parent, field_ = s.args
             if s.model == model:
-                tag(i, CHILD, _key((s.column,)), 1, F.col(s.column).isNotNull())
+                tag(i, CHILD, _key_sql((s.column,)), 1, f"{_q(s.column)} IS NOT NULL")
             if parent == model:
-                tag(i, PARENT, _key((field_,)), 0, F.col(field_).isNotNull())
-    return tags
+                tag(i, PARENT, _key_sql((field_,)), 0, f"{_q(field_)} IS NOT NULL")
+    if not tags:
+        return None
+    return "filter(array(" + ", ".join(tags) + "), t -> t IS NOT NULL)"
 
 
 def declared_check_counts(specs: Iterable[CheckSpec], models: Callable[[str], DataFrame]) -> DataFrame:
@@ -280,8 +293,7 @@ def declared_check_counts(specs: Iterable[CheckSpec], models: Callable[[str], Da
     for m in involved:
         tags = _tags(m, specs)
         if tags:
-            parts.append(models(m).select(F.explode(F.filter(F.array(*tags), lambda t: t.isNotNull()))
-                                          .alias("t")).select("t.*"))
+            parts.append(models(m).select(F.explode(F.expr(tags)).alias("t")).select("t.*"))
     records = reduce(DataFrame.unionByName, parts)
     is_parent = F.col("kind") == PARENT
     per_key = (records.groupBy("check_id", "key")
