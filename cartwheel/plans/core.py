@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import (age_group, days_between, email_domain, email_hash,
-                                       guarded_rate, month_start, recognized_or_zero,
-                                       whole_units_between)
-from cartwheel.functions.exprs import money
+                                       guarded_rate, in_window, money, month_start,
+                                       recognized_or_zero, whole_units_between)
 from cartwheel.operators.rollups import order_item_rollup, session_rollup
-from cartwheel.functions.exprs import in_window
 from cartwheel.params import Params
 
 

@@ -18,7 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators import checks as Q
-from cartwheel.operators.history import PRODUCT_CHECK_COLS, PRODUCT_SNAPSHOT_COLS, scd2_apply
+from cartwheel.operators.history import (PRODUCT_CHECK_COLS, PRODUCT_SNAPSHOT_COLS, dim_products_history,
+                                         scd2_apply)
 from cartwheel.operators.writers import (materialize, read_table, store_failures, table_exists,
                                          write_incremental, write_table)
 from cartwheel.params import Params
@@ -141,7 +142,6 @@ class DailyRun:
     def build_core(self) -> None:
         f = self.frames
         hist = read_table(self.spark, f"{self.root}/snapshots/products")
-        from cartwheel.operators.history import dim_products_history
         built = {
             "dim_distribution_centers": core.dim_distribution_centers(f["stg_distribution_centers"]),
             "dim_products": core.dim_products(f["stg_products"], f["stg_distribution_centers"]),
