@@ -96,10 +96,15 @@ def cohort_size(users: DataFrame) -> DataFrame:
 
 
 def purchase_months(orders: DataFrame, users: DataFrame) -> DataFrame:
-    """A7 (+J7, F7): distinct (user, cohort, activity month) with net revenue > 0."""
-    return (orders.where(F.col("net_revenue") > 0)
-            .select("user_id", month_start("ordered_date").alias("activity_month"))
-            .join(users.select("user_id", "signup_cohort_month"), "user_id", "inner")
+    """A7 (+J7, F7): distinct (user, cohort, activity month) with net revenue > 0.
+
+    (user, month) pairs are de-duplicated before the join, so a heavy buyer
+    crosses the join shuffle once per month, not once per order.
+    """
+    active = (orders.where(F.col("net_revenue") > 0)
+              .select("user_id", month_start("ordered_date").alias("activity_month"))
+              .distinct())
+    return (active.join(users.select("user_id", "signup_cohort_month"), "user_id", "inner")
             .select("user_id", "signup_cohort_month", "activity_month")
             .distinct())
 

@@ -40,3 +40,11 @@ def test_sample_against_duckdb(spark):
         idx = [d_cols.index(c) for c in sorted(d_cols)]
         d_sorted = sorted((tuple(r[i] for i in idx) for r in d_rows), key=key)
         assert s_rows == d_sorted, name
+
+
+def test_every_query_builds_with_unique_columns(spark):
+    """Every registered builder analyses on sf0.001 and names each column once
+    (the correctness gate hashes values by sorted column name)."""
+    for name, build in E.queries().items():
+        cols = build(spark, SF_SMOKE).columns
+        assert cols and len(cols) == len(set(cols)), name
