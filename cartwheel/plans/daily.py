@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators import checks as Q
@@ -131,8 +132,11 @@ class DailyRun:
 
     def build_intermediate(self) -> None:
         f = self.frames
+        # Consumed by its checks, fct_order_items and fct_orders: computed once
+        # and kept (memory, spilling to disk; lost blocks are recomputed from
+        # lineage) until the core layer is written.
         f["int_order_items_enriched"] = intermediate.int_order_items_enriched(
-            f["stg_order_items"], f["stg_orders"], f["stg_products"])
+            f["stg_order_items"], f["stg_orders"], f["stg_products"]).persist(StorageLevel.MEMORY_AND_DISK)
         incremental = table_exists(self.spark, f"{self.root}/int_events_sessionized")
         f["int_events_sessionized"] = self._materialize(
             "int_events_sessionized",
@@ -180,6 +184,12 @@ class DailyRun:
         })
 
 
+    def release(self) -> None:
+        enriched = self.frames.get("int_order_items_enriched")
+        if enriched is not None:
+            enriched.unpersist()
+
+
 def run_daily(spark: SparkSession, sources: dict[str, DataFrame], root: str, params: Params,
               now: dt.datetime, gate: bool = True, load_window: tuple | None = None) -> RunReport:
     """One daily run. With ``gate`` an error-severity check failure stops the
@@ -189,8 +199,11 @@ def run_daily(spark: SparkSession, sources: dict[str, DataFrame], root: str, par
     run.load(sources, load_window)
     run.freshness()
     run.snapshot()
-    run.build_staging()
-    run.build_intermediate()
-    run.build_core()
+    try:
+        run.build_staging()
+        run.build_intermediate()
+        run.build_core()
+    finally:
+        run.release()
     run.build_reporting()
     return run.report
