@@ -47,7 +47,9 @@ def _layout(df: DataFrame, partition_by: str | None, cluster_by: tuple[str, ...]
         return (df.repartitionByRange(n, partition_by, *cluster_by)
                 .sortWithinPartitions(partition_by, *cluster_by))
     if cluster_by:
-        return df.sortWithinPartitions(*cluster_by)
+        # No day directories here: let AQE coalesce the range exchange to its
+        # advisory partition size, so file count follows table size.
+        return df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     return df
 
 
