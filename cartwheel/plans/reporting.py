@@ -27,7 +27,10 @@ def rpt_daily_revenue(fct_order_items: DataFrame, dim_products: DataFrame) -> Da
     shuffled a single time and the aggregate is evaluated once.
     """
     products = broadcast_if_bounded(dim_products.select("product_id", "department_name"))
-    daily = daily_revenue_base(fct_order_items, products).repartition("department_name")
+    # An explicit count keeps AQE from folding the (small) daily table into a
+    # single task: departments' windows then run in parallel.
+    n = int(fct_order_items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    daily = daily_revenue_base(fct_order_items, products).repartition(n, "department_name")
     cur = daily
     for grain in ("week", "month", "year"):
         cur = cumulative(cur, "net_revenue", "ordered_date", ["department_name"], grain,
