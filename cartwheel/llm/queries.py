@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import exact_dedup, mixing, quality, sentencepiece_codec, token_output, toxicity
-from cartwheel.llm.common import documents, fold, scratch
+from cartwheel.llm import embedding_dedup, exact_dedup, minhash_dedup, mixing, quality, sentencepiece_codec, token_output, toxicity
+from cartwheel.llm.common import documents, fold, importable, scratch
 
 UP, LO = exact_dedup.UPPER, exact_dedup.LOWER
 
@@ -29,6 +29,15 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "size", own["source_size"].alias("source_size"), own["target"].alias("target"), "taken")
 
 
+def op6_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return embedding_dedup.links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir), shingle=2, percent=80)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grades 0 to 2; toxic when a grade above 0 is likelier than not."""
     docs = documents(spark, sf_dir)
@@ -55,7 +64,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_output, op3_exact_dedup, op5_source_mix, op8_toxicity, op9_quality_rules, op10_sentencepiece)}
+    f.__name__: f for f in (op1_token_output, op3_exact_dedup, op5_source_mix, op6_embedding_links, op7_minhash, op8_toxicity, op9_quality_rules, op10_sentencepiece)}
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": f"""

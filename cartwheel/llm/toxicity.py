@@ -53,7 +53,7 @@ def features(word: str) -> list[str]:
 
 
 def fit_cumulative_link(x: list[np.ndarray], grades: np.ndarray, width: int, n_grades: int,
-                        penalty: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
+                        penalty: float = 1e-5, steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) by gradient steps (Adam) on the ordinal likelihood.
 
     ``x`` holds the feature indices of each row. Thresholds are kept in order
