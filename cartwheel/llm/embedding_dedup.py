@@ -166,25 +166,75 @@ def _dealt(rows: DataFrame) -> DataFrame:
         "f", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), F.col("own"), "key", "raw")
 
 
+def _pairs_of(x: np.ndarray, own: np.ndarray, starts: np.ndarray, same: np.ndarray, threshold: float):
+    """(row, row) of the pairs that pass, inside groups of rows ``starts[k]:starts[k+1]``.
+
+    In a group with ``same`` every pair counts, else only pairs of different ``own``.
+    """
+    out = []
+    sizes = np.diff(starts)
+    small = same & (sizes <= 32)
+    last = np.repeat(np.where(small, starts[1:], 0), sizes)  # end of the row's group, 0: not small
+    at = np.flatnonzero(last)
+    step = 1
+    while True:
+        at = at[at + step < last[at]]
+        if not len(at):
+            break
+        hit = np.einsum("ij,ij->i", x[at], x[at + step]) >= threshold
+        out.append(np.stack([at[hit], at[hit] + step]))
+        step += 1
+    for k in np.flatnonzero(~small & (sizes > 1)):
+        rows = np.arange(starts[k], starts[k + 1])
+        left, right = (rows, rows) if same[k] else (rows[own[rows] == own[rows].min()], rows[own[rows] == own[rows].max()])
+        for lo in range(0, len(left), 256):
+            i, j = np.nonzero(x[left[lo:lo + 256]] @ x[right].T >= threshold)
+            p, q = left[lo + i], right[j]
+            keep = p < q if same[k] else p != q
+            out.append(np.stack([p[keep], q[keep]]))
+    return np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+
+
 def verified_pairs(rows: DataFrame, threshold: float) -> DataFrame:
     """a, b (keys, a < b): the pairs of a filter whose cosine reaches the threshold."""
 
-    def run(pdf):
-        import pandas as pd
-        pdf = pdf.drop_duplicates(["own", "key"])
-        first, second = pdf["i"].iat[0], pdf["j"].iat[0]
-        left, right = pdf[pdf["own"] == first], pdf[pdf["own"] == second]
-        a, b = left["key"].to_numpy(), right["key"].to_numpy()
-        out = []
-        if len(a) and len(b):
-            dim = int(pdf["f"].iat[0]) % 65536  # a filter holds one dimension
-            x, y = _units(left["raw"].tolist(), dim), _units(right["raw"].tolist(), dim)
-            for lo in range(0, len(a), 256):
-                i, j = np.nonzero(x[lo:lo + 256] @ y.T >= threshold)
-                out += [(min(p, q), max(p, q)) for p, q in zip(a[lo + i], b[j]) if (p < q if first == second else p != q)]
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return _dealt(rows).groupBy("f", "i", "j").applyInPandas(run, "a binary, b binary").distinct()
+    def groups(batches):
+        """Tables of whole groups (sorted by f, i, j): the open group waits for the next batch."""
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = pa.concat_tables([held, t]) if held is not None and held.num_rows else t
+            ids = np.stack([t.column(c).to_numpy() for c in ("f", "i", "j")])
+            cut = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
+            if not len(cut):
+                held = t
+                continue
+            yield t.slice(0, cut[-1]), np.concatenate(([0], cut))
+            held = t.slice(cut[-1])
+        if held is not None and held.num_rows:
+            yield held, np.array([0, held.num_rows])
+
+    def run(batches):
+        for t, starts in groups(batches):
+            keys, raws, own = t.column("key").to_pylist(), t.column("raw").to_pylist(), t.column("own").to_numpy()
+            first = starts[:-1]
+            same = t.column("i").to_numpy()[first] == t.column("j").to_numpy()[first]
+            dims = t.column("f").to_numpy()[first] % 65536  # a filter holds one dimension
+            for dim in np.unique(dims):
+                mine = dims == dim
+                size = np.where(mine, np.diff(starts), 0)
+                rows_ = np.flatnonzero(np.repeat(mine, np.diff(starts)))
+                x = _units([raws[r] for r in rows_], int(dim))
+                at = np.concatenate(([0], np.cumsum(size[mine])))
+                i, j = _pairs_of(x, own[rows_], at, same[mine], threshold)
+                pairs = {(min(p, q), max(p, q)) for p, q in ((keys[a], keys[b]) for a, b in zip(rows_[i], rows_[j]))}
+                if pairs:
+                    a, b = zip(*pairs)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    dealt = _dealt(rows)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(n, "f", "i", "j").sortWithinPartitions("f", "i", "j").mapInArrow(run, "a binary, b binary").distinct()
 
 
 def links(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD,

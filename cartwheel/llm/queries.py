@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import embedding_dedup, exact_dedup, minhash_dedup, mixing, quality, sentencepiece_codec, token_output, toxicity
+from cartwheel.llm import (embedding_dedup, exact_dedup, lm_score, minhash_dedup, mixing, quality,
+                           sentencepiece_codec, token_output, toxicity)
 from cartwheel.llm.common import documents, fold, importable, scratch
 
 UP, LO = exact_dedup.UPPER, exact_dedup.LOWER
@@ -23,6 +24,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(documents(spark, sf_dir))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(documents(spark, sf_dir), fold("doc_id", 7) == 2)
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mixing.taken(documents(spark, sf_dir), F.array("source"))
     own = F.col("by_source")[0]
@@ -64,7 +69,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_output, op3_exact_dedup, op5_source_mix, op6_embedding_links, op7_minhash, op8_toxicity, op9_quality_rules, op10_sentencepiece)}
+    f.__name__: f for f in (op1_token_output, op3_exact_dedup, op4_lm_score, op5_source_mix, op6_embedding_links, op7_minhash, op8_toxicity, op9_quality_rules, op10_sentencepiece)}
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": f"""
