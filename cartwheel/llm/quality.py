@@ -50,11 +50,15 @@ def statistics(text: Column) -> dict[str, Column]:
     }
 
 
+def _parts(text: Column) -> dict[str, Column]:
+    """The helper columns that ``statistics`` reads, from the text column."""
+    return {"__n": F.length(text), "__words": F.filter(F.split(text, SPLIT), lambda x: x != ""), "__lines": F.split(text, "\n")}
+
+
 def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[str]]:
     """doc_id and one double per statistic (and their names)."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__t"))
-    d = d.select("doc_id", "__t", F.length("__t").alias("__n"),
-                 F.filter(F.split("__t", SPLIT), lambda x: x != "").alias("__words"), F.split("__t", "\n").alias("__lines"))
+    d = d.select("*", *[e.alias(k) for k, e in _parts(F.col("__t")).items()])
     stats = statistics(F.col("__t"))
     return d.select("doc_id", *[e.cast("double").alias(k) for k, e in stats.items()]), list(stats)
 
@@ -158,13 +162,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return {"intercept": b, "rules": [(float(w[k]), rules[k]) for k in keep], "names": names}
 
 
-def score_column(model: dict) -> Column:
-    """The model as one expression over the statistics: 0 to 1."""
+def score_column(model: dict, prefix: str = "") -> Column:
+    """The model as one expression over the statistics (named with ``prefix``): 0 to 1."""
     z = F.lit(model["intercept"])
     for weight, rule in model["rules"]:
         test = F.lit(True)
         for j, low, t in rule:
-            c = F.col(model["names"][j])
+            c = F.col(prefix + model["names"][j])
             test = test & ((c <= F.lit(t)) if low else (c > F.lit(t)))
         z = z + F.when(test, F.lit(weight)).otherwise(F.lit(0.0))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
@@ -176,6 +180,14 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     return stats.select("doc_id", score_column(model).alias("score"))
 
 
+def keep(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more, columns unchanged: one pass, no join."""
+    d = docs.withColumn("__t", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    d = d.select("*", *[e.alias(k) for k, e in _parts(F.col("__t")).items()])
+    d = d.withColumn("__s", F.struct(*[e.cast("double").alias(k) for k, e in statistics(F.col("__t")).items()]))
+    return d.filter(score_column(model, "__s.") >= threshold).select(*docs.columns)
+
+
 def training_fold(labels: DataFrame) -> DataFrame:
     """Labels that may be learned from: crc32 of the id modulo 4 is not 2."""
     return labels.filter(fold("doc_id", 4) != 2).select("doc_id", F.col("quality").alias("label"))

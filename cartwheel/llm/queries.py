@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import (embedding_dedup, exact_dedup, lm_score, minhash_dedup, mixing, quality,
-                           sentencepiece_codec, token_output, toxicity)
+                           sentencepiece_codec, suffix_dedup, token_output, toxicity)
 from cartwheel.llm.common import documents, fold, importable, scratch
 
 UP, LO = exact_dedup.UPPER, exact_dedup.LOWER
@@ -20,6 +20,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.digests(token_output.read_token_files(spark, path))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.deduplicate(documents(spark, sf_dir)))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(documents(spark, sf_dir))
 
@@ -69,7 +73,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_output, op3_exact_dedup, op4_lm_score, op5_source_mix, op6_embedding_links, op7_minhash, op8_toxicity, op9_quality_rules, op10_sentencepiece)}
+    f.__name__: f for f in (op1_token_output, op2_suffix_dedup, op3_exact_dedup, op4_lm_score, op5_source_mix, op6_embedding_links, op7_minhash, op8_toxicity, op9_quality_rules, op10_sentencepiece)}
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": f"""
