@@ -45,7 +45,7 @@ from cartwheel.llm.common import mix64, slices, stored
 WINDOW, GRAM = 100, 32
 REACH = WINDOW - GRAM  # largest offset of an anchor in its window
 KEY = WINDOW + REACH + 2  # right bytes, left bytes backwards, both lengths + 1
-SLICE_BYTES = 8 << 20
+PIECE_BYTES, SLICE_BYTES = 1 << 20, 24 << 20  # hashed at a time; sent at a time
 RUN_KEYS = 150_000
 SAMPLE_KEYS = 20_000
 NULL_ID = -(1 << 63)
@@ -114,26 +114,39 @@ def candidates(docs: DataFrame, buckets: int) -> DataFrame:
     def spread(batches):
         from pyspark import TaskContext
         turn = TaskContext.get().partitionId()
-        for b in slices(batches, "text", SLICE_BYTES):
+        held, size = [], 0
+        for b in slices(batches, "text", PIECE_BYTES):
             text = b.column("text").cast(pa.binary())
             bounds = np.frombuffer(text.buffers()[1], np.int32)[text.offset:text.offset + len(text) + 1].astype(np.int64)
             data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
             h, doc, at, lo, hi = anchors(data, bounds - bounds[0])
-            own, sub = b.column("own").to_numpy()[doc], b.column("sub").to_numpy()[doc]
-            _, first, inverse, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-            again = times[inverse] > 1
-            marker = np.zeros(len(h), bool)
-            marker[first[times > 1]] = True
-            where = (h % np.uint64(buckets)).astype(np.int64)
-            turn += 1
-            groups = [(0, k, np.flatnonzero((~again | marker) & (where == k))) for k in range(buckets)]
-            for kind, k, rows in [*groups, (1, turn % buckets, np.flatnonzero(again))]:
-                if len(rows):
-                    place = np.where(marker[rows] & (kind == 0), -1, at[rows]).astype(np.int32)
-                    cells = [h[rows].tobytes() if kind == 0 else b"", _zip(own[rows]), _zip(sub[rows]), _zip(place),
-                             _zip(lo[rows].astype(np.uint8)), _zip(hi[rows].astype(np.uint8))]
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([kind], pa.int32()), *(pa.array([c], pa.binary()) for c in cells)],
-                                                     ["bucket", "kind", "h", *ANCHOR_COLS])
+            held.append((h, b.column("own").to_numpy()[doc], b.column("sub").to_numpy()[doc],
+                         at.astype(np.int32), lo.astype(np.uint8), hi.astype(np.uint8)))
+            size += len(data)
+            if size >= SLICE_BYTES:
+                turn += 1
+                yield from send(held, turn)
+                held, size = [], 0
+        if held:
+            yield from send(held, turn + 1)
+
+    def send(held, turn):
+        """Grams seen once in the slice with their anchors, a marker for the others; the others' anchors apart."""
+        h, own, sub, at, lo, hi = (np.concatenate(x) for x in zip(*held))
+        _, first, inverse, times = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        again = times[inverse] > 1
+        marker = np.zeros(len(h), bool)
+        marker[first[times > 1]] = True
+        where = np.where(~again | marker, (h % np.uint64(buckets)).astype(np.int64), buckets)
+        order = np.argsort(where, kind="stable")
+        cuts = np.searchsorted(where[order], np.arange(buckets + 1))
+        groups = [(0, k, order[cuts[k]:cuts[k + 1]]) for k in range(buckets)]
+        for kind, k, rows in [*groups, (1, turn % buckets, np.flatnonzero(again))]:
+            if len(rows):
+                place = np.where(marker[rows] & (kind == 0), -1, at[rows]).astype(np.int32)
+                cells = [h[rows].tobytes() if kind == 0 else b"", *(_zip(x) for x in (own[rows], sub[rows], place, lo[rows], hi[rows]))]
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([kind], pa.int32()), *(pa.array([c], pa.binary()) for c in cells)],
+                                                 ["bucket", "kind", "h", *ANCHOR_COLS])
 
     def repeated(pdf: pd.DataFrame) -> pd.DataFrame:
         kinds = dict(own=np.int64, sub=np.int64, at=np.int32, lo=np.uint8, hi=np.uint8)
@@ -262,7 +275,7 @@ def sorted_runs(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def splitters(runs: DataFrame, parts: int) -> list[bytes]:
-    """``parts`` - 1 keys that cut the sorted order evenly, from SAMPLE_KEYS sampled keys at most."""
+    """``parts`` - 1 keys that cut the sorted order evenly, from about SAMPLE_KEYS sampled keys."""
 
     def pick(batches):
         for b in batches:
@@ -272,7 +285,8 @@ def splitters(runs: DataFrame, parts: int) -> list[bytes]:
                 yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in keys], pa.binary())], ["key"])
 
     drawn = runs.filter("kind = 0").select("lcp", "rest").mapInArrow(pick, "key binary")
-    few = sorted(bytes(r.key) for r in drawn.orderBy(F.xxhash64("key")).limit(SAMPLE_KEYS).collect())
+    share = min(1.0, SAMPLE_KEYS / max(1, drawn.count()))  # so that about SAMPLE_KEYS reach the driver, from any number of runs
+    few = sorted(bytes(r.key) for r in drawn.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int(share * (1 << 20))).collect())
     return sorted({few[len(few) * k // parts] for k in range(1, parts)}) if few else []
 
 
