@@ -35,6 +35,7 @@ from cartwheel.llm.common import mix64, slices, stored, words_of
 
 BITS, PROBES = 10, 7
 SHARD_BYTES = 128 << 20
+STEP = 1 << 17
 END_HASH = np.uint64(0x5851F42D4C957F2D)
 #: (largest code of the history's count, weight of the pair's own estimate)
 LAMBDAS = ((4, 0.5), (8, 0.3), (64, 0.15))
@@ -238,36 +239,57 @@ def _load(parts: DataFrame, wanted: list[int], buckets: int) -> dict:
 
 # --- scoring -------------------------------------------------------------------------
 
-def _with_totals(table: DataFrame, totals: DataFrame, buckets: int) -> DataFrame:
-    """The batches with their words' exact training counts (and empty codes) beside them."""
+STATE = "batch long, doc_ids array<long>, held array<boolean>, lens array<int>, vocab binary, tokens binary, totals binary, uni binary, bi binary"
+RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = left.drop(columns=["counts"])
-        h = np.frombuffer(left["vocab"].iat[0], np.uint64)
-        at, c = (h % np.uint64(buckets)).astype(np.int64), np.zeros(len(h), np.uint64)
-        for k, blob in zip(right["bucket"], right["totals"]):
-            c[at == k] = _unzip(blob, np.uint64)
-        out["totals"], out["uni"], out["bi"] = [_zip(c)], [b""], [b""]
-        return out
 
-    schema = "batch long, doc_ids array<long>, held array<boolean>, lens array<int>, vocab binary, tokens binary, totals binary, uni binary, bi binary"
-    return table.groupBy("batch").cogroup(totals.select("batch", "bucket", "totals").groupBy("batch")).applyInPandas(join, schema)
+def _totals_of(vocab: bytes, right: pd.DataFrame, buckets: int) -> np.ndarray:
+    """Exact training counts of a batch's words, from the rows of its buckets."""
+    h = np.frombuffer(vocab, np.uint64)
+    at, c = (h % np.uint64(buckets)).astype(np.int64), np.zeros(len(h), np.uint64)
+    for k, blob in zip(right["bucket"], right["totals"]):
+        c[at == k] = _unzip(blob, np.uint64)
+    return c
 
 
 def _read_codes(vocab, tokens, uni, bi, shard, buckets):
-    h, t = np.frombuffer(vocab, np.uint64), _unzip(tokens, np.uint32).astype(np.int64)
-    prev = np.concatenate(([0], t[:-1]))
+    """(tokens, the words before them, codes of the words, codes of the pairs), codes completed by ``shard``."""
+    h, t = np.frombuffer(vocab, np.uint64), _unzip(tokens, np.uint32)
+    prev = np.concatenate((np.zeros(1, np.uint32), t[:-1]))
     u = _unzip(uni, np.uint8).copy() if uni else np.zeros(len(h), np.uint8)
     w = _unzip(bi, np.uint8).copy() if bi else np.zeros(len(t), np.uint8)
     got, known = probe(unigram_key(h), shard, buckets)
     u[known] = got[known]
-    for lo in range(0, len(t), 1 << 18):
-        s = slice(lo, lo + (1 << 18))
+    for lo in range(0, len(t), STEP):
+        s = slice(lo, lo + STEP)
         got, known = probe(bigram_key(h[prev[s]], h[t[s]]), shard, buckets)
         w[s][known] = got[known]
     return t, prev, u, w
 
 
+def _scores(row: dict, exact: np.ndarray, shard: dict, buckets: int, n: int, v: int) -> dict:
+    """The result columns of one batch."""
+    t, prev, u, w = _read_codes(row["vocab"], row["tokens"], row["uni"], row["bi"], shard, buckets)
+    lens = np.asarray(row["lens"], np.int64)
+    starts = np.cumsum(lens) - lens
+    c = value_of(u)
+    p_word = (c + 1.0) / (n + v + 1.0)
+    weight = np.select([u == 0, *(u <= code for code, _ in LAMBDAS)], [0.0, *(x for _, x in LAMBDAS)], 0.0)
+    model = np.empty(len(t))
+    for lo in range(0, len(t), STEP):
+        s = slice(lo, lo + STEP)
+        now, before = t[s], prev[s]
+        code = np.where((u[now] > 0) & (u[before] > 0), w[s], 0)
+        pair = np.minimum(1.0, value_of(code) / np.maximum(c[before], 1.0))
+        lam = weight[before]
+        model[s] = np.log10(lam * pair + (1 - lam) * p_word[now])
+    sums = lambda x: np.add.reduceat(x, starts) if len(starts) else x[:0]
+    out = {"doc_id": row["doc_ids"], "held_out": row["held"], "n_tokens": lens, "train_tokens": [n] * len(lens), "score": sums(model)}
+    out["n_known"] = sums((exact > 0).astype(np.int32)[t]).astype(np.int64)
+    out["base_score"] = sums((np.log10(exact + 1.0) - np.log10(n + v + 1.0))[t])
+    return {name: out[name] for name in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")}
+
+
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per document.
 
@@ -280,9 +302,23 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     n, v = totals.agg(F.sum("n"), F.sum("v")).first()
     n, v = n or 0, v or 0
     parts = stored(build_filter(table, buckets), "lm-filter")
-    state = _with_totals(table, totals, buckets)
+    both = table.groupBy("batch").cogroup(totals.select("batch", "bucket", "totals").groupBy("batch"))
     shards = _shards(parts)
-    for wanted in shards[:-1]:
+    if len(shards) == 1:  # the usual case: join and score in one step
+        only = spark.sparkContext.broadcast(_load(parts, shards[0], buckets))  # SHARD_BYTES at most
+
+        def at_once(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            row = left.iloc[0].to_dict() | {"uni": b"", "bi": b""}
+            out = _scores(row, _totals_of(row["vocab"], right, buckets), only.value, buckets, n, v)
+            return pd.DataFrame(out | {"doc_id": pd.array(out["doc_id"], "Int64")})
+
+        return both.applyInPandas(at_once, RESULT)
+
+    def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return left.drop(columns=["counts"]).assign(totals=[_zip(_totals_of(left["vocab"].iat[0], right, buckets))], uni=[b""], bi=[b""])
+
+    state = both.applyInPandas(join, STATE)
+    for wanted in shards:
         shared = spark.sparkContext.broadcast(_load(parts, wanted, buckets))  # SHARD_BYTES at most
 
         def add(batches, shared=shared):
@@ -293,30 +329,16 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                     [*(b.column(c) for c in ("batch", "doc_ids", "held", "lens", "vocab", "tokens", "totals")),
                      pa.array([_zip(x) for x, _ in new], pa.binary()), pa.array([_zip(x) for _, x in new], pa.binary())], b.schema.names)
 
-        state = stored(state.mapInArrow(add, state.schema), "lm-codes")
-    last = spark.sparkContext.broadcast(_load(parts, shards[-1], buckets))
+        state = stored(state.mapInArrow(add, STATE), "lm-codes")
 
     def finish(batches):
-        floor = np.log10(n + v + 1.0)
+        nothing = {"bits": np.zeros(buckets, np.uint64), "base": np.zeros(buckets, np.int64), "on": np.zeros(0, np.uint8)}
         for b in batches:
             for i in range(b.num_rows):
                 row = {name: b.column(name)[i].as_py() for name in b.schema.names}
-                t, prev, u, w = _read_codes(row["vocab"], row["tokens"], row["uni"], row["bi"], last.value, buckets)
-                exact, lens = _unzip(row["totals"], np.uint64), np.asarray(row["lens"], np.int64)
-                starts = np.cumsum(lens) - lens
-                c = value_of(u)
-                p_word = (c + 1.0) / (n + v + 1.0)
-                weight = np.select([u == 0, *(u <= code for code, _ in LAMBDAS)], [0.0, *(x for _, x in LAMBDAS)], 0.0)
-                w = np.where((u[t] > 0) & (u[prev] > 0), w, 0)
-                pair = np.minimum(1.0, value_of(w) / np.maximum(c[prev], 1.0))
-                lam = weight[prev]
-                model = np.log10(lam * pair + (1 - lam) * p_word[t])
-                base = (np.log10(exact + 1.0) - floor)[t]
-                sums = lambda x: np.add.reduceat(x, starts) if len(starts) else x[:0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(lens, pa.int64()),
-                     pa.array(sums((exact > 0)[t].astype(np.int64)), pa.int64()), pa.array([n] * len(lens), pa.int64()),
-                     pa.array(sums(base), pa.float64()), pa.array(sums(model), pa.float64())],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                out = _scores(row, _unzip(row["totals"], np.uint64), nothing, buckets, n, v)
+                yield pa.RecordBatch.from_pydict(out, pa.schema(
+                    [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                     ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]))
 
-    return state.mapInArrow(finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return state.mapInArrow(finish, RESULT)
