@@ -19,7 +19,7 @@ _TABLES: dict = {}
 class ChunkTable:
     """chunk -> ids (int32 bytes), filled on demand by ``encode(list of chunks)``."""
 
-    def __init__(self, encode: Callable, max_entries: int = 400_000):
+    def __init__(self, encode: Callable, max_entries: int = 200_000):
         self.encode, self.max_entries, self.ids = encode, max_entries, {}
 
     def lookup(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -27,8 +27,8 @@ class ChunkTable:
         keys = chunks.to_pylist()
         found = {}
         missing = [k for k in keys if k not in self.ids]
-        for lo in range(0, len(missing), 20_000):
-            part = missing[lo:lo + 20_000]
+        for lo in range(0, len(missing), 5_000):
+            part = missing[lo:lo + 5_000]
             found.update((k, np.asarray(v, np.int32).tobytes()) for k, v in zip(part, self.encode(part)))
         get = self.ids
         parts = [get[k] if k in get else found[k] for k in keys]
