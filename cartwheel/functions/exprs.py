@@ -114,9 +114,9 @@ def months_between_starts(later, earlier) -> Column:
 
 
 def session_id(user_id, started_at) -> Column:
-    """Deterministic session id: '<user>-<yyyyMMddHHmmss of session start>'."""
-    return F.concat_ws("-", _col(user_id).cast("string"),
-                       F.date_format(_col(started_at), "yyyyMMddHHmmss"))
+    """Deterministic session id: '<user>-<yyyyMMddHHmmss of session start>', NULL if either part is."""
+    return F.concat(_col(user_id).cast("string"), F.lit("-"),
+                    F.date_format(_col(started_at), "yyyyMMddHHmmss"))
 
 
 def in_window(c, start, end) -> Column:

@@ -43,7 +43,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = _parser().parse_args(argv)
-    tables = args.tables.split(",") if getattr(args, "tables", None) else None
+    tables = [t.strip() for t in args.tables.split(",") if t.strip()] if getattr(args, "tables", None) else None
     if tables:
         unknown = [t for t in tables if t not in TABLES_BY_NAME]
         if unknown:
@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             print(json.dumps(report, default=str))
         return 0
     from cartwheel.plans.daily import run_daily
-    window = (dt.date(1900, 1, 1), args.run_date) if args.first_load else None
+    window = (dt.date.min, args.run_date) if args.first_load else None
     report = run_daily(spark, sources, args.root, Params(run_date=args.run_date), now,
                        gate=not args.no_gate, load_window=window)
     print(json.dumps({"built": report.built,

@@ -185,16 +185,18 @@ FRESHNESS = {
 def source_freshness(tables: dict[str, DataFrame], now: dt.datetime,
                      limits: dict[str, Freshness] | None = None) -> DataFrame:
     """Per source: newest load time, age in hours at ``now`` and status
-    (pass / warn / error / exempt). An observation, never a gate (Q17)."""
+    (pass / warn / error / exempt). A source that never loaded is an error; ages are
+    compared in seconds, unrounded. An observation, never a gate (Q17)."""
     limits = limits or FRESHNESS
     now_ts = F.lit(now.isoformat(sep=" ")).cast("timestamp")
     rows = []
     for name, df in sorted(tables.items()):
         lim = limits.get(name, Freshness(None, None))
-        age = F.round((F.unix_seconds(now_ts) - F.unix_seconds(F.col("max_loaded_at"))) / 3600.0, 2)
+        seconds = F.unix_seconds(now_ts) - F.unix_seconds(F.col("max_loaded_at"))
+        age = F.round(seconds / 3600.0, 2)
         status = F.lit("exempt") if lim.error_after_hours is None else (
-            F.when(age > lim.error_after_hours, "error")
-            .when(age > lim.warn_after_hours, "warn").otherwise("pass"))
+            F.when(F.col("max_loaded_at").isNull() | (seconds > lim.error_after_hours * 3600), "error")
+            .when(seconds > lim.warn_after_hours * 3600, "warn").otherwise("pass"))
         rows.append(df.agg(F.max("_ingested_at").alias("max_loaded_at"))
                     .select(F.lit(name).alias("source_name"), "max_loaded_at",
                             age.alias("age_hours"), status.alias("freshness_status")))

@@ -1,33 +1,10 @@
-"""Join helpers: size-checked broadcast and the as-of (range) join."""
+"""The as-of (range) join. Dimension joins are plain: Spark picks the side to broadcast by its size."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when it provably has at most this many
-# rows. Dimensions are projected to their join key plus a few attributes
-# before the check (≈100–200 bytes a row), so the bound keeps a broadcast
-# well under a few hundred MB per executor.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` when df has at most ``max_rows`` rows, else df.
-
-    The check is a distributed count (partial counts per task, one number to
-    the driver), so it stays cheap even when the side turns out to be large;
-    beyond the bound the join falls back to a shuffle join, which AQE may
-    still demote to a broadcast once it has measured the real size.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def join_to_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                      max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Fact ⋈ dimension with the dimension broadcast when its size is proven."""
-    return fact.join(broadcast_if_bounded(dim, max_rows), on, how)
-
 
 def asof_join(facts: DataFrame, history: DataFrame, key: str, ts: str,
               valid_from: str = "valid_from", valid_to: str = "valid_to",

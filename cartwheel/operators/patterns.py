@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import guarded_rate
 from cartwheel.operators.history import latest_per_key
-from cartwheel.operators.joins import broadcast_if_bounded
 from cartwheel.operators.rollups import money_sum
 from cartwheel.operators.writers import write_partitions
 
@@ -66,16 +65,15 @@ def read_landing(spark: SparkSession, root: str, ingest_dates: list, col: str =
 
 
 # ---------------------------------------------------------------- X7 pivot
-def pivot_sum(df: DataFrame, keys: list[str], pivot: str, value: str, values: list | None = None,
-              max_values: int = 200) -> DataFrame:
-    """Sum ``value`` per keys with one column per pivot value. Values found at
-    run time are capped: a pivot's width must stay bounded."""
-    if values is None:
-        found = [r[0] for r in df.select(pivot).distinct().limit(max_values + 1).collect()]
-        if len(found) > max_values:
-            raise ValueError(f"more than {max_values} pivot values in {pivot}")
-        values = sorted(v for v in found if v is not None)
-    return df.groupBy(*keys).pivot(pivot, values).agg(money_sum(value))
+def pivot_sum(df: DataFrame, keys: list[str], pivot: str, value: str, values: list,
+              null_column: str = "unassigned") -> DataFrame:
+    """Sum ``value`` per keys with one column per listed pivot value, and one for NULL.
+
+    The caller names the values (a pivot's width is part of its contract), so
+    the input is read once.
+    """
+    cell = lambda match, name: money_sum(F.when(match, F.col(value))).alias(name)
+    return df.groupBy(*keys).agg(*[cell(F.col(pivot) == v, str(v)) for v in values], cell(F.col(pivot).isNull(), null_column))
 
 
 # ---------------------------------------------------------------- X8 metrics
@@ -117,8 +115,7 @@ def read_channel_seed(spark: SparkSession) -> DataFrame:
 
 def map_channel(df: DataFrame, col: str, seed: DataFrame, vocabulary: str) -> DataFrame:
     """Add ``channel`` (unified vocabulary); unmapped values become '(unmapped)'."""
-    m = F.broadcast(seed.where(F.col("vocabulary") == vocabulary)
-                    .select(F.col("source_value").alias(col), "channel"))
+    m = seed.where(F.col("vocabulary") == vocabulary).select(F.col("source_value").alias(col), "channel")
     return df.join(m, col, "left").withColumn("channel", F.coalesce("channel", F.lit("(unmapped)")))
 
 
@@ -163,7 +160,7 @@ def read_partition_range(spark: SparkSession, path: str, col: str, start, end) -
 # ---------------------------------------------------------------- margin analysis consumer
 def product_margin(fct_order_items: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Net revenue, net gross profit and margin rate by category and brand."""
-    p = broadcast_if_bounded(dim_products.select("product_id", "category_name", "brand_name"))
+    p = dim_products.select("product_id", "category_name", "brand_name")
     agg = (fct_order_items.join(p, "product_id", "inner")
            .groupBy("category_name", "brand_name")
            .agg(F.count(F.lit(1)).alias("order_item_count"),

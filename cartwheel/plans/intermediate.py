@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import guarded_rate, is_revenue_recognized, money
-from cartwheel.operators.joins import broadcast_if_bounded
 from cartwheel.operators.sessionize import sessionize
 from cartwheel.params import Params
 
@@ -26,9 +25,9 @@ def int_order_items_enriched(stg_order_items: DataFrame, stg_orders: DataFrame,
     """
     orders = stg_orders.select("order_key", "order_id", "order_status",
                                F.col("item_count").alias("order_item_count"), "_load_generation")
-    products = broadcast_if_bounded(stg_products.select(
+    products = stg_products.select(
         "product_id", "product_name", "brand_name", "category_name", "department_name",
-        "unit_cost", "retail_price", "distribution_center_id"))
+        "unit_cost", "retail_price", "distribution_center_id")
     joined = (stg_order_items
               .join(orders, ["order_id", "_load_generation"], "left")
               .join(products, "product_id", "left"))

@@ -15,7 +15,7 @@ from cartwheel.operators import history as H
 from cartwheel.operators import patterns as X
 from cartwheel.operators import rollups as A
 from cartwheel.operators import windows as W
-from cartwheel.operators.joins import asof_join, broadcast_if_bounded
+from cartwheel.operators.joins import asof_join
 from cartwheel.operators.sessionize import sessionize
 from cartwheel.params import Params
 from cartwheel.plans import oracle as O
@@ -63,8 +63,7 @@ def session_entry_touch(spark, sf):
 @register("daily_revenue_base", O.model("daily_revenue"))
 def daily_revenue_base(spark, sf):
     m = _m(spark, sf)
-    return A.daily_revenue_base(m.fct_order_items, broadcast_if_bounded(
-        m.dim_products.select("product_id", "department_name")))
+    return A.daily_revenue_base(m.fct_order_items, m.dim_products.select("product_id", "department_name"))
 
 
 register("cohort_size", O.model("cohort_size"))(
@@ -103,19 +102,27 @@ def table_row_counts(spark, sf):
     return out
 
 
-@register("source_freshness", O.oracle(" UNION ALL ".join(
-    f"""SELECT '{name}' AS source_name, max(_ingested_at) AS max_loaded_at,
-  round((epoch(TIMESTAMP '{FRESHNESS_NOW.isoformat(sep=' ')}') - floor(epoch(max(_ingested_at)))) / 3600.0, 2)
-      AS age_hours,
-  {("'exempt'" if lim.error_after_hours is None else
-    f"CASE WHEN round((epoch(TIMESTAMP '{FRESHNESS_NOW.isoformat(sep=' ')}') - floor(epoch(max(_ingested_at)))) / 3600.0, 2) > {lim.error_after_hours} THEN 'error' "
-    f"WHEN round((epoch(TIMESTAMP '{FRESHNESS_NOW.isoformat(sep=' ')}') - floor(epoch(max(_ingested_at)))) / 3600.0, 2) > {lim.warn_after_hours} THEN 'warn' ELSE 'pass' END")}
-      AS freshness_status
-FROM raw_{name}""" for name, lim in sorted(Q.FRESHNESS.items())),
-    *[f"raw_{n}" for n in Q.FRESHNESS]))
+#: The declared limits, and a source that never loaded: it must not look healthy.
+_FRESH = {**Q.FRESHNESS, "orders_never_loaded": Q.Freshness(12, 36)}
+
+
+def _freshness_sql(name: str, lim) -> str:
+    """The rule: no rows, or older than the error limit, is an error; ages are compared in seconds."""
+    source = "(SELECT * FROM raw_orders WHERE false)" if name == "orders_never_loaded" else f"raw_{name}"
+    age = f"date_diff('second', date_trunc('second', max(_ingested_at)), TIMESTAMP '{FRESHNESS_NOW.isoformat(sep=' ')}')"
+    status = "'exempt'" if lim.error_after_hours is None else (
+        f"CASE WHEN count(_ingested_at) = 0 OR {age} > {lim.error_after_hours} * 3600 THEN 'error' "
+        f"WHEN {age} > {lim.warn_after_hours} * 3600 THEN 'warn' ELSE 'pass' END")
+    return (f"SELECT '{name}' AS source_name, max(_ingested_at) AS max_loaded_at, round({age} / 3600.0, 2) AS age_hours, "
+            f"{status} AS freshness_status FROM {source}")
+
+
+@register("source_freshness", O.oracle(" UNION ALL ".join(_freshness_sql(n, lim) for n, lim in sorted(_FRESH.items())),
+                                       *[f"raw_{n}" for n in Q.FRESHNESS]))
 def source_freshness(spark, sf):
     m = _m(spark, sf)
-    return Q.source_freshness({n: m.raw(n) for n in Q.FRESHNESS}, FRESHNESS_NOW)
+    tables = {n: m.raw(n) for n in Q.FRESHNESS} | {"orders_never_loaded": m.raw("orders").where(F.lit(False))}
+    return Q.source_freshness(tables, FRESHNESS_NOW, _FRESH)
 
 
 # ====================================================================== windows
@@ -548,12 +555,12 @@ _DEPTS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
     "SELECT cast(date_trunc('month', ordered_date) AS date) AS ordered_month, "
     + ", ".join(f"cast(sum(CASE WHEN department_name = '{d}' THEN net_revenue END) AS decimal(38,9)) AS {d}"
                 for d in _DEPTS)
-    + " FROM daily_revenue GROUP BY 1", "daily_revenue"))
+    + ", cast(sum(CASE WHEN department_name IS NULL THEN net_revenue END) AS decimal(38,9)) AS unassigned FROM daily_revenue GROUP BY 1", "daily_revenue"))
 def revenue_pivot_department(spark, sf):
     m = _m(spark, sf)
     daily = A.daily_revenue_base(m.fct_order_items, m.dim_products)
     return X.pivot_sum(daily.withColumn("ordered_month", F.trunc("ordered_date", "month")),
-                       ["ordered_month"], "department_name", "net_revenue")
+                       ["ordered_month"], "department_name", "net_revenue", list(_DEPTS))
 
 
 @register("metric_total_revenue", O.oracle("""

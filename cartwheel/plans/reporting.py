@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from cartwheel.functions.exprs import guarded_rate, safe_ratio
 from cartwheel.operators.rollups import (cohort_size, daily_funnel_base, daily_revenue_base,
                                          purchase_months, retention_base)
-from cartwheel.operators.joins import broadcast_if_bounded
 from cartwheel.operators.windows import cumulative, year_over_year_window
 
 REVENUE_COLUMNS = ["ordered_date", "department_name", "order_count", "order_item_count",
@@ -26,7 +25,7 @@ def rpt_daily_revenue(fct_order_items: DataFrame, dim_products: DataFrame) -> Da
     frames per department) all reuse that partitioning, so the daily rows are
     shuffled a single time and the aggregate is evaluated once.
     """
-    products = broadcast_if_bounded(dim_products.select("product_id", "department_name"))
+    products = dim_products.select("product_id", "department_name")
     # An explicit count keeps AQE from folding the (small) daily table into a
     # single task: departments' windows then run in parallel.
     n = int(fct_order_items.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -136,11 +136,10 @@ FROM {{lineitem}}
 SELECT
     s_suppkey AS id,
     s_name AS name,
-    CAST(30 + s_suppkey AS DOUBLE) AS latitude,
-    CAST(-90 - s_suppkey AS DOUBLE) AS longitude,
+    CAST(30 + s_suppkey % 40 AS DOUBLE) AS latitude,
+    CAST(-90 - s_suppkey % 40 AS DOUBLE) AS longitude,
     {INGESTED_AT} AS _ingested_at
 FROM {{supplier}}
-WHERE s_suppkey < 10
 """,
 }
 
@@ -158,31 +157,9 @@ RAW_INPUTS: dict[str, tuple[str, ...]] = {
 SOURCES = tuple(RAW_SQL)
 
 
-_SPLITS: dict[str, int] = {}
-
-
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that arrives in fewer splits than the cluster has task
-    slots (e.g. a file written as one row group), so the work before the first
-    shuffle is not done by one task. A scan of a large table already has
-    thousands of splits and is returned unchanged. Split counts are memoised
-    per input path."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    return df.repartition(target) if _SPLITS[key] < target else df
-
-
-_READS: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table; the (immutable, lazy) scan plan is reused per session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _READS:
-        _READS[key] = spread(spark.read.parquet(path), path)
-    return _READS[key]
+    """Scan of one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
