@@ -95,8 +95,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one per distinct normalised text, all columns kept."""
-    ids = classes(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__keep"), "text_sha256")
-    sha = F.sha2(normalise(F.col(text_col)), 256)
-    d = docs.withColumn("__sha", sha)
-    kept = d.join(ids, d[id_col].eqNullSafe(F.col("__keep")) & (F.col("__sha") == F.col("text_sha256")), "left_semi")
-    return kept.dropDuplicates([id_col, "__sha"]).drop("__sha")
+    ids = classes(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("keep"), F.col("text_sha256").alias("keep_sha"))
+    # the row travels as one struct, so no column of it can clash
+    d = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.sha2(normalise(F.col(text_col)), 256).alias("sha"))
+    kept = d.join(ids, F.col("id").eqNullSafe(F.col("keep")) & (F.col("sha") == F.col("keep_sha")), "left_semi")
+    return kept.dropDuplicates(["id", "sha"]).select("row.*")

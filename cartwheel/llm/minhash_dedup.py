@@ -212,7 +212,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group, all columns kept.
 
-    Rows that repeat a kept id all carry that id's set; one of them stays.
+    Rows that share a kept id stay together (ids are unique after exact dedup).
     """
-    gone = near_duplicates(docs, id_col, text_col, shingle, percent).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
+    gone = near_duplicates(docs, id_col, text_col, shingle, percent).filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    d = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"))  # as a struct no column can clash
+    return d.join(gone, F.col("id").eqNullSafe(F.col("gone")), "left_anti").select("row.*")

@@ -198,9 +198,10 @@ def mix(docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str
     """
     decide = _keyed(docs, sources, id_col, text_col, seed)
     keyed = stored(docs.select(*decide), "mix-sizes")
-    got = docs.select("*", *decide).join(F.broadcast(plan(keyed, weights, epochs)).drop("by_source"), "__pattern")
+    # the row travels as one struct, so no column of it can clash
+    got = docs.select(F.struct(*docs.columns).alias("__row"), *decide).join(F.broadcast(plan(keyed, weights, epochs)).drop("by_source"), "__pattern")
     got = got.withColumn("__times", F.when(F.col("__size") > 0, _times()).otherwise(0)).filter("__times > 0")
-    return got.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))).select(*docs.columns)
+    return got.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))).select("__row.*")
 
 
 def _quotas(supply: dict, sizes: dict, weights, epochs: int) -> dict:

@@ -182,10 +182,10 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
 def keep(docs: DataFrame, model: dict, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, columns unchanged: one pass, no join."""
-    d = docs.withColumn("__t", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    d = docs.select(F.struct(*docs.columns).alias("__row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__t"))
     d = d.select("*", *[e.alias(k) for k, e in _parts(F.col("__t")).items()])
     d = d.withColumn("__s", F.struct(*[e.cast("double").alias(k) for k, e in statistics(F.col("__t")).items()]))
-    return d.filter(score_column(model, "__s.") >= threshold).select(*docs.columns)
+    return d.filter(score_column(model, "__s.") >= threshold).select("__row.*")
 
 
 def training_fold(labels: DataFrame) -> DataFrame:

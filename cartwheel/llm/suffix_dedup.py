@@ -271,7 +271,9 @@ def sorted_runs(docs: DataFrame, found: DataFrame) -> DataFrame:
             yield from out()
 
     per_doc = found.distinct().groupBy("own", "sub").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("found"))
-    return docs.join(per_doc, ["own", "sub"]).select("own", "sub", "text", "found").mapInArrow(run, RUN_SCHEMA)
+    # rows that repeat an id and a text are one document; the join has brought them together already
+    once = docs.join(per_doc, ["own", "sub"]).dropDuplicates(["own", "sub"])
+    return once.select("own", "sub", "text", "found").mapInArrow(run, RUN_SCHEMA)
 
 
 def splitters(runs: DataFrame, parts: int) -> list[bytes]:
