@@ -9,11 +9,14 @@ densification). ROWS bins make a band key. Inside a bucket only star edges to
 a centre are candidates, so the pairs are at most as many as the rows, and
 each candidate is confirmed on the full sets.
 
-A star can miss two members that are alike but both unlike their centre, so
-rounds repeat with CENTRES other centres per bucket, among members of different
-components, until a round finds no new link (three rounds at least). At a
-similarity of 0.8 a pair shares no bucket with probability
-(1 - 0.8**5)**32 = 3e-6.
+A star can miss two members that are alike but both unlike their centre. So
+while a bucket holds several components, members outside its largest one
+become centres in turn, four times as many a round, until each of them has been a
+centre there. Of two members in different components one at least was then
+compared with the other, so no pair that shares a bucket is missed. Pairs
+inside one component, pairs tested before and pairs whose set sizes rule out a
+link are not compared. At a similarity of 0.8 a pair shares no bucket with
+probability (1 - 0.8**5)**32 = 3e-6.
 
 Links: 100 * |intersection| >= PERCENT * |union|.
 
@@ -139,20 +142,38 @@ def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets pass; the sets move to the pairs, not the other way round."""
+    """ca, cb (the components) of the pairs (a, b) whose full sets pass; the sets move to the pairs, not the other way round."""
     one = pairs.join(sets.select(F.col("rep").alias("b"), F.col("items").alias("y")), "b")
     two = one.join(sets.select(F.col("rep").alias("a"), F.col("items").alias("x")), "a")
     both = F.size(F.array_intersect("x", "y"))
-    return two.filter(F.lit(100) * both >= F.lit(percent) * (F.size("x") + F.size("y") - both)).select("a", "b")
+    return two.filter(F.lit(100) * both >= F.lit(percent) * (F.size("x") + F.size("y") - both)).select("ca", "cb").distinct()
 
 
-def _centres(bucket: DataFrame, r: int) -> DataFrame:
-    """key, c, cc: a bucket's centres and their components: its smallest id, in later rounds CENTRES seeded picks."""
-    orders = [F.col("rep")] if r == 0 else [F.xxhash64(F.lit(CENTRES * r + k), "rep") for k in range(CENTRES)]
-    picks = [F.min(F.struct(o.alias("o"), F.col("rep"), F.col("component"))).alias(f"p{k}") for k, o in enumerate(orders)]
-    found = bucket.groupBy("key").agg(*picks)
-    each = F.array_distinct(F.array(*[F.struct(F.col(f"p{k}.rep").alias("c"), F.col(f"p{k}.component").alias("cc")) for k in range(len(orders))]))
-    return found.select("key", F.inline(each))
+def _open_buckets(bucket: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components, with the bucket's most frequent one as ``main``."""
+    parts = bucket.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
+    main = parts.groupBy("key").agg(F.max(F.struct("m", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("parts"))
+    return bucket.join(main.filter("parts > 1").select("key", "main"), "key")
+
+
+def _first_centres(bucket: DataFrame) -> DataFrame:
+    """key, c, cc, cn: each bucket's smallest id, its component and set size."""
+    low = bucket.groupBy("key").agg(F.min(F.struct("rep", "component", "n")).alias("p"))
+    return low.select("key", F.col("p.rep").alias("c"), F.col("p.component").alias("cc"), F.col("p.n").alias("cn"))
+
+
+def _next_centres(waiting: DataFrame, r: int) -> DataFrame:
+    """The same for about CENTRES * 4**(r-1) seeded picks a bucket of the members that wait, all of them when they are fewer."""
+    left = waiting.groupBy("key").agg(F.count(F.lit(1)).alias("left"))
+    turn = F.pmod(F.xxhash64(F.lit(r), "rep"), F.col("left"))
+    return waiting.join(left, "key").filter(turn < F.lit(CENTRES << 2 * (r - 1))) \
+        .select("key", F.col("rep").alias("c"), F.col("component").alias("cc"), F.col("n").alias("cn"))
+
+
+def _merged(comp: DataFrame, new: DataFrame) -> DataFrame:
+    """Components after the links ``new`` (ca, cb) between components."""
+    step = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).withColumnRenamed("component", "to")
+    return comp.join(step, comp["component"] == step["id"], "left").select("rep", F.coalesce("to", "component").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -164,44 +185,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = drawn.withColumn("own", F.coalesce("doc_id", null_id))
     # classes of equal sets; equal sets have equal bands
     cls = stored(named.filter("n_shingles > 0").groupBy("digest").agg(F.min("own").alias("rep")), "classes")
-    reps = named.join(cls, [named["digest"] == cls["digest"], named["own"] == cls["rep"]]).select("rep", "bands").dropDuplicates(["rep"])
-    rows = stored(reps.select("rep", F.explode("bands").alias("key")), "bands")
+    reps = named.join(cls, [named["digest"] == cls["digest"], named["own"] == cls["rep"]]).select("rep", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["rep"])
+    rows = stored(reps.select("rep", "n", F.explode("bands").alias("key")), "bands")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     rows = stored(rows.join(shared, "key"), "buckets")
-    wanted = rows.select("rep").distinct()
+    wanted = stored(rows.select("rep").distinct(), "wanted")
     texts = src.withColumn("own", F.coalesce("doc_id", null_id))
     chosen = texts.join(wanted, texts["own"] == wanted["rep"], "left_semi").select(F.col("own").alias("doc_id"), "text")
     sets = stored(full_sets(chosen, shingle).select(F.col("doc_id").alias("rep"), "items").dropDuplicates(["rep"]), "sets")
 
-    links = tested = comp = None
-    r = fruitless = 0
+    comp = wanted.select("rep", F.col("rep").alias("component"))
+    done = tested = None
+    r = 0
     while True:
-        bucket = rows if comp is None else rows.join(comp, rows["rep"] == comp["id"], "left") \
-            .select("key", "rep", F.coalesce("component", "rep").alias("component"))
-        if comp is None:
-            bucket = bucket.withColumn("component", F.col("rep"))
-        if r:  # only buckets that still hold different components
-            open_ = bucket.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-            bucket = stored(bucket.join(open_, "key"), "open-buckets")
-        centre = _centres(bucket, r)
-        pairs = bucket.join(centre, "key").filter("component != cc") \
-            .select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+        bucket = rows.join(comp, "rep")
+        if not r:
+            centre = _first_centres(bucket)
+        else:
+            bucket = stored(_open_buckets(bucket), "open-buckets")
+            waiting = bucket.filter("component != main").join(done, ["key", "rep"], "left_anti")
+            if waiting.isEmpty():
+                break
+            centre = _next_centres(waiting, r)
+        centre = stored(centre, "centres")
+        used = centre.select("key", F.col("c").alias("rep"))
+        done = used if done is None else done.unionByName(used)
+        fits = F.lit(100) * F.least("n", "cn") >= F.lit(percent) * F.greatest("n", "cn")
+        pairs = bucket.join(centre, "key").filter((F.col("component") != F.col("cc")) & fits) \
+            .select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b"),
+                    F.least("component", "cc").alias("ca"), F.greatest("component", "cc").alias("cb")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         new = stored(_confirmed(pairs, sets, percent), "confirmed")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = new if links is None else links.unionByName(new)
+        if not new.isEmpty():
+            comp = stored(_merged(comp, new), "components")
         r += 1
-        fruitless = fruitless + 1 if new.isEmpty() else 0
-        if fruitless and (r > 2 or pairs.isEmpty()):
-            break
-        if not fruitless:
-            comp = stored(components(links), "components")
-    if comp is not None:
-        cls = cls.join(comp, cls["rep"] == comp["id"], "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    else:
-        cls = cls.select("digest", F.col("rep").alias("component"))
+    cls = cls.join(comp, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     got = named.select("doc_id", "own", "n_shingles", "digest").join(cls, "digest", "left")
     component = F.coalesce("component", "own")
     return got.select("doc_id", "n_shingles", F.when(component != null_id, component).alias("component_id"),
