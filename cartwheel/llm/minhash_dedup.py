@@ -143,8 +143,9 @@ def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """ca, cb (the components) of the pairs (a, b) whose full sets pass; the sets move to the pairs, not the other way round."""
-    one = pairs.join(sets.select(F.col("rep").alias("b"), F.col("items").alias("y")), "b")
-    two = one.join(sets.select(F.col("rep").alias("a"), F.col("items").alias("x")), "a")
+    side = lambda c: sets.join(pairs.select(F.col(c).alias("rep")), "rep", "left_semi")  # noqa: E731  a round of few pairs moves few sets
+    one = pairs.join(side("b").select(F.col("rep").alias("b"), F.col("items").alias("y")), "b")
+    two = one.join(side("a").select(F.col("rep").alias("a"), F.col("items").alias("x")), "a")
     both = F.size(F.array_intersect("x", "y"))
     return two.filter(F.lit(100) * both >= F.lit(percent) * (F.size("x") + F.size("y") - both)).select("ca", "cb").distinct()
 
@@ -173,7 +174,7 @@ def _next_centres(waiting: DataFrame, r: int) -> DataFrame:
 def _merged(comp: DataFrame, new: DataFrame) -> DataFrame:
     """Components after the links ``new`` (ca, cb) between components."""
     step = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).withColumnRenamed("component", "to")
-    return comp.join(step, comp["component"] == step["id"], "left").select("rep", F.coalesce("to", "component").alias("component"))
+    return comp.join(step, comp["component"] == step["id"], "left").select("rep", "n", F.coalesce("to", "component").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -185,16 +186,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = drawn.withColumn("own", F.coalesce("doc_id", null_id))
     # classes of equal sets; equal sets have equal bands
     cls = stored(named.filter("n_shingles > 0").groupBy("digest").agg(F.min("own").alias("rep")), "classes")
-    reps = named.join(cls, [named["digest"] == cls["digest"], named["own"] == cls["rep"]]).select("rep", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["rep"])
-    rows = stored(reps.select("rep", "n", F.explode("bands").alias("key")), "bands")
+    reps = named.join(cls, [named["digest"] == cls["digest"], named["own"] == cls["rep"]]).select("rep", "bands").dropDuplicates(["rep"])
+    rows = stored(reps.select("rep", F.explode("bands").alias("key")), "bands")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     rows = stored(rows.join(shared, "key"), "buckets")
-    wanted = stored(rows.select("rep").distinct(), "wanted")
+    wanted = rows.select("rep").distinct()
     texts = src.withColumn("own", F.coalesce("doc_id", null_id))
     chosen = texts.join(wanted, texts["own"] == wanted["rep"], "left_semi").select(F.col("own").alias("doc_id"), "text")
     sets = stored(full_sets(chosen, shingle).select(F.col("doc_id").alias("rep"), "items").dropDuplicates(["rep"]), "sets")
 
-    comp = wanted.select("rep", F.col("rep").alias("component"))
+    comp = stored(sets.select("rep", F.size("items").alias("n"), F.col("rep").alias("component")), "components")
     done = tested = None
     r = 0
     while True:

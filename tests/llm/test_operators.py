@@ -236,6 +236,29 @@ def test_minhash_equals_brute_force(docs, nothing):
     assert minhash_dedup.deduplicate(docs).columns == docs.columns
 
 
+def test_minhash_links_members_that_miss_their_centre(spark):
+    """A chain of texts, each like the next only, in one bucket whose centre is like none of them."""
+    importable(spark)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[9 * i:9 * i + 200])) for i in range(1, 20)] + [(0, " ".join(words[:60] + [f"x{i}" for i in range(400)]))]
+    out = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in out.collect()} == {0: 0, **{i: 1 for i in range(1, 20)}}
+
+
+def test_minhash_centres_take_turns(spark):
+    """Every member outside its bucket's largest component is a centre once; no member of the largest is."""
+    rows = [(1, r, 10, 100 if r < 30 else r) for r in range(20, 60)] + [(2, r, 10, 7) for r in range(5)]
+    open_ = minhash_dedup._open_buckets(spark.createDataFrame(rows, "key long, rep long, n int, component long"))
+    assert {r.key for r in open_.collect()} == {1}
+    waiting, seen, r = open_.filter("component != main"), [], 0
+    while not waiting.isEmpty():
+        r += 1
+        centre = [x.c for x in minhash_dedup._next_centres(waiting, r).collect()]
+        seen += centre
+        waiting = waiting.filter(~F.col("rep").isin(centre))
+    assert sorted(seen) == list(range(30, 60)) and r <= 6
+
+
 def test_embedding_links(spark):
     importable(spark)
     rng = np.random.default_rng(4)
