@@ -190,7 +190,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = stored(reps.select("rep", F.explode("bands").alias("key")), "bands")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     rows = stored(rows.join(shared, "key"), "buckets")
-    wanted = rows.select("rep").distinct()
+    wanted = stored(rows.select("rep").distinct(), "wanted")  # its written size lets Spark broadcast it only while small
     texts = src.withColumn("own", F.coalesce("doc_id", null_id))
     chosen = texts.join(wanted, texts["own"] == wanted["rep"], "left_semi").select(F.col("own").alias("doc_id"), "text")
     sets = stored(full_sets(chosen, shingle).select(F.col("doc_id").alias("rep"), "items").dropDuplicates(["rep"]), "sets")
