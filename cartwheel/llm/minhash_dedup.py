@@ -6,7 +6,7 @@ search runs over different sets only. One permutation of the hash space is cut
 into BINS ranges; the smallest hash of each range is the sketch, and an empty
 range borrows from a range picked by its own hash sequence (optimal
 densification). ROWS bins make a band key. Inside a bucket only star edges to
-a centre are candidates, so the pairs are at most as many as the rows, and
+a centre are candidates, in the first round at most as many as the rows, and
 each candidate is confirmed on the full sets.
 
 A star can miss two members that are alike but both unlike their centre. So
