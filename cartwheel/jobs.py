@@ -2,7 +2,7 @@
 
   python -m cartwheel.jobs load  --source-dir D --root R [--start S --end E | --lookback N]
                                  [--tables a,b] [--dry-run]
-  python -m cartwheel.jobs daily --source-dir D --root R --run-date YYYY-MM-DD [--first-load]
+  python -m cartwheel.jobs daily --source-dir D --root R --run-date YYYY-MM-DD [--first-load] [--full-refresh]
 
 ``load`` is the ad-hoc/first load (Entry C): an explicit window or N days back
 from today, optionally a subset of tables; an unknown table name exits with
@@ -18,7 +18,7 @@ import json
 import sys
 
 from cartwheel.params import Params
-from cartwheel.sources.registry import TABLES_BY_NAME
+from cartwheel.sources.registry import LANDINGS
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     daily.add_argument("--run-date", type=dt.date.fromisoformat, required=True)
     daily.add_argument("--first-load", action="store_true")
     daily.add_argument("--no-gate", action="store_true")
+    daily.add_argument("--full-refresh", action="store_true")
     return p
 
 
@@ -45,7 +46,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     args = _parser().parse_args(argv)
     tables = [t.strip() for t in args.tables.split(",") if t.strip()] if getattr(args, "tables", None) else None
     if tables:
-        unknown = [t for t in tables if t not in TABLES_BY_NAME]
+        unknown = [t for t in tables if t not in LANDINGS]
         if unknown:
             print(f"unknown tables: {', '.join(unknown)}", file=sys.stderr)
             return 2
@@ -72,7 +73,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from cartwheel.plans.daily import run_daily
     window = (dt.date.min, args.run_date) if args.first_load else None
     report = run_daily(spark, sources, args.root, Params(run_date=args.run_date), now,
-                       gate=not args.no_gate, load_window=window)
+                       gate=not args.no_gate, load_window=window, full_refresh=args.full_refresh)
     print(json.dumps({"built": report.built,
                       "failing_checks": {c.name: c.failures for c in report.checks if c.failures}}))
     return 0

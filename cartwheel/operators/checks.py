@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cartwheel.operators.rollups import daily_order_count, duplicate_keys
+from cartwheel.operators.rollups import daily_order_count, duplicate_keys, max_loaded_at
 from cartwheel.operators.windows import weekday_baseline, zscore
 from cartwheel.params import Params
 
@@ -197,9 +197,8 @@ def source_freshness(tables: dict[str, DataFrame], now: dt.datetime,
         status = F.lit("exempt") if lim.error_after_hours is None else (
             F.when(F.col("max_loaded_at").isNull() | (seconds > lim.error_after_hours * 3600), "error")
             .when(seconds > lim.warn_after_hours * 3600, "warn").otherwise("pass"))
-        rows.append(df.agg(F.max("_ingested_at").alias("max_loaded_at"))
-                    .select(F.lit(name).alias("source_name"), "max_loaded_at",
-                            age.alias("age_hours"), status.alias("freshness_status")))
+        rows.append(max_loaded_at(df).select(F.lit(name).alias("source_name"), "max_loaded_at",
+                                             age.alias("age_hours"), status.alias("freshness_status")))
     return reduce(DataFrame.unionByName, rows)
 
 

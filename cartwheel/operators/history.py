@@ -15,10 +15,12 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
+from cartwheel.operators.rollups import keys_with_versions
+
 TOOL_COLUMNS = ("_scd_id", "_updated_at", "_valid_from", "_valid_to")
 
 # The columns whose change opens a new product version.
@@ -128,17 +130,11 @@ def multi_version_rows(history: DataFrame, key: str = "product_id", order: str =
                                                    "valid_from", "valid_to")) -> DataFrame:
     """H5/O1: versions of keys that have more than one version, ordered by key
     and valid_from, first ``limit`` rows (a top-N listing: TakeOrderedAndProject)."""
-    multi = (history.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > 1).select(key))
+    multi = keys_with_versions(history, key).select(key)
     out = history.join(multi, key, "left_semi").select(*columns).orderBy(key, order)
     return out.limit(limit) if limit is not None else out
 
 
-def first_n_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
-    """O2: the n smallest keys (deterministic top-N)."""
-    return df.select(key).orderBy(key).limit(n)
-
-
 def apply_keyed_updates(df: DataFrame, updates: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """UPDATE ... FROM — rows with a key in ``updates`` take its values
     for ``cols``; every other row is unchanged. Left join + coalesce."""
@@ -152,7 +148,7 @@ def apply_keyed_updates(df: DataFrame, updates: DataFrame, key: str, cols: list[
 
 def price_change_updates(products: DataFrame, count: int = 20, pct: float = 0.15,
                          key: str = "id", price: str = "retail_price") -> DataFrame:
-    """The first ``count`` ids by id, price moved +pct for even ids and -pct for
+    """O2: the first ``count`` ids by id, price moved +pct for even ids and -pct for
     odd ids, rounded to cents (exact decimal arithmetic)."""
     picked = products.select(key, price).orderBy(key).limit(count)
     factor = F.when(F.pmod(F.col(key), F.lit(2)) == 0, F.lit(1 + pct)).otherwise(F.lit(1 - pct))
@@ -192,9 +188,3 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     ordering = F.struct(*[F.col(c) for c in order])
     return (df.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in others]), ordering).alias("_r"))
             .select(key, "_r.*"))
-
-
-def window_latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Textbook row_number form of ``latest_per_key`` (used as a test oracle)."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

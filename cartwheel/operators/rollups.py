@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from cartwheel.functions.exprs import month_start, months_between_starts, recognized_or_zero
+from cartwheel.functions.exprs import UNKNOWN_CHANNEL, month_start, months_between_starts, recognized_or_zero
 
 # Aggregated money: the warehouse NUMERIC (38, 9).
 MONEY_SUM = DecimalType(38, 9)
@@ -46,20 +46,21 @@ def order_item_rollup(enriched: DataFrame) -> DataFrame:
 
 def session_rollup(sessionized: DataFrame) -> DataFrame:
     """A2/A3: per session — bounds, counts, entry touch (first by time, key), funnel flags."""
-    order = ("event_at", "event_key")
+    entry = first_by(F.struct("traffic_source", "uri", "browser"), "event_at", "event_key")
     return (sessionized.groupBy("session_id", "user_id")
             .agg(F.min("event_at").alias("session_started_at"),
                  F.max("event_at").alias("session_ended_at"),
                  F.count(F.lit(1)).alias("event_count"),
                  F.countDistinct("event_type").alias("distinct_event_type_count"),
-                 first_by("traffic_source", *order).alias("entry_traffic_source"),
-                 first_by("uri", *order).alias("entry_uri"),
-                 first_by("browser", *order).alias("browser"),
+                 entry.alias("_entry"),
                  (F.count_if(F.col("event_type") == "product") > 0).alias("viewed_product"),
                  (F.count_if(F.col("event_type") == "cart") > 0).alias("added_to_cart"),
                  (F.count_if(F.col("event_type") == "purchase") > 0).alias("purchased"),
                  (F.count_if(F.col("event_type") == "cancel") > 0).alias("cancelled"),
-                 F.countDistinct("source_session_id").alias("source_session_id_count")))
+                 F.countDistinct("source_session_id").alias("source_session_id_count"))
+            .withColumns({"entry_traffic_source": F.col("_entry.traffic_source"),
+                          "entry_uri": F.col("_entry.uri"), "browser": F.col("_entry.browser")})
+            .drop("_entry"))
 
 
 def daily_revenue_base(items: DataFrame, products: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def daily_revenue_base(items: DataFrame, products: DataFrame) -> DataFrame:
 def daily_funnel_base(sessions: DataFrame) -> DataFrame:
     """A5 (+P18): date × entry channel. The channel is coalesced *before* grouping."""
     return (sessions.withColumn("entry_traffic_source",
-                                F.coalesce("entry_traffic_source", F.lit("(unknown)")))
+                                F.coalesce("entry_traffic_source", F.lit(UNKNOWN_CHANNEL)))
             .groupBy("session_date", "entry_traffic_source")
             .agg(F.count(F.lit(1)).alias("session_count"),
                  F.countDistinct("user_id").alias("user_count"),

@@ -121,21 +121,3 @@ def assign_sessions(events: DataFrame, timeout_minutes: int, bucket_seconds: int
     return (ev.withColumn("session_id", session_id(user, "session_started_at"))
               .drop("_bucket", "_prev_in_bucket", "_local_start", "_prev_last", "_first_ts",
                     "_first_starts", "_incoming_start"))
-
-
-def assign_sessions_single_window(events: DataFrame, timeout_minutes: int,
-                                  user: str = "user_id", ts: str = "event_at",
-                                  tiebreak: str = "event_key") -> DataFrame:
-    """Textbook form (one window per user). Used as the brute-force check in tests;
-    not used in production plans because one heavy user becomes one task."""
-    w = Window.partitionBy(user).orderBy(ts, tiebreak)
-    gap = whole_units_between("MINUTE", F.lag(ts).over(w), F.col(ts))
-    ev = events.withColumn("minutes_since_prev_event", gap)
-    ev = ev.withColumn("is_session_start",
-                       F.when(F.col("minutes_since_prev_event").isNull()
-                              | (F.col("minutes_since_prev_event") > timeout_minutes), 1)
-                       .otherwise(0).cast("int"))
-    ev = ev.withColumn("session_started_at",
-                       F.last(F.when(F.col("is_session_start") == 1, F.col(ts)), ignorenulls=True)
-                       .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return ev.withColumn("session_id", session_id(user, "session_started_at"))

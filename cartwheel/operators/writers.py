@@ -124,12 +124,6 @@ def store_failures(df: DataFrame, root: str, check_name: str, run_date) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def register_view(df: DataFrame, name: str) -> DataFrame:
-    """A view is a named lazy plan."""
-    df.createOrReplaceTempView(name)
-    return df
-
-
 def partition_values(df: DataFrame, col: str) -> list:
     """Distinct values of a partition column (bounded by the number of days written)."""
     return sorted(r[0] for r in df.select(col).distinct().collect())

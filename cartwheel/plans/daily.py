@@ -27,8 +27,8 @@ from cartwheel.params import Params
 from cartwheel.plans import core, intermediate, reporting, staging
 from cartwheel.plans.contracts import CONTRACTS
 from cartwheel.plans.declared_checks import DECLARED_CHECKS
-from cartwheel.sources.loads import read_landed, run_loads
-from cartwheel.sources.registry import TABLES
+from cartwheel.sources.loads import landed_days, read_landed, run_loads
+from cartwheel.sources.registry import LANDINGS
 
 # Physical layout per materialized model: (partition column, cluster columns).
 LAYOUT = {
@@ -58,8 +58,9 @@ class RunReport:
 
 class DailyRun:
     def __init__(self, spark: SparkSession, root: str, params: Params, now: dt.datetime,
-                 gate: bool = True):
+                 gate: bool = True, full_refresh: bool = False):
         self.spark, self.root, self.params, self.now, self.gate = spark, root.rstrip("/"), params, now, gate
+        self.full_refresh = full_refresh
         self.report = RunReport()
         self.frames: dict[str, DataFrame] = {}
 
@@ -81,7 +82,7 @@ class DailyRun:
 
     def freshness(self) -> None:
         """Observation only: recorded, never blocks the build (Q17)."""
-        fr = Q.source_freshness({t.name: self.raw(t.name) for t in TABLES}, self.now)
+        fr = Q.source_freshness({name: self.raw(name) for name in LANDINGS}, self.now)
         self.report.freshness = [r.asDict() for r in fr.collect()]  # one row per source
 
     def snapshot(self) -> None:
@@ -99,7 +100,7 @@ class DailyRun:
             df = Q.enforce_contract(df, schema, not_null)
         part, cluster = LAYOUT[name]
         path = f"{self.root}/{name}"
-        if name in INCREMENTAL and part:
+        if name in INCREMENTAL and part and not self.full_refresh:
             mode = write_incremental(self.spark, df, path, part, cluster)
         else:
             write_table(df, path, part, cluster)
@@ -137,10 +138,13 @@ class DailyRun:
         # lineage) until the core layer is written.
         f["int_order_items_enriched"] = intermediate.int_order_items_enriched(
             f["stg_order_items"], f["stg_orders"], f["stg_products"]).persist(StorageLevel.MEMORY_AND_DISK)
-        incremental = table_exists(self.spark, f"{self.root}/int_events_sessionized")
+        incremental = not self.full_refresh and table_exists(self.spark, f"{self.root}/int_events_sessionized")
+        events = self.raw("events")
+        if incremental:  # only the window's day folders and the read buffer are opened
+            events = landed_days(events, *self.params.window(self.params.session_buffer_days))
         f["int_events_sessionized"] = self._materialize(
             "int_events_sessionized",
-            intermediate.int_events_sessionized(f["stg_events"], self.params, incremental=incremental))
+            intermediate.int_events_sessionized(staging.stg_events(events), self.params, incremental=incremental))
         self._check(["int_order_items_enriched", "int_events_sessionized"])
 
     def build_core(self) -> None:
@@ -157,7 +161,7 @@ class DailyRun:
         }
         for name, df in built.items():
             f[name] = self._materialize(name, df)
-        incremental = table_exists(self.spark, f"{self.root}/fct_user_events")
+        incremental = not self.full_refresh and table_exists(self.spark, f"{self.root}/fct_user_events")
         f["fct_user_events"] = self._materialize(
             "fct_user_events",
             core.fct_user_events(f["int_events_sessionized"], self.params, incremental=incremental))
@@ -191,11 +195,13 @@ class DailyRun:
 
 
 def run_daily(spark: SparkSession, sources: dict[str, DataFrame], root: str, params: Params,
-              now: dt.datetime, gate: bool = True, load_window: tuple | None = None) -> RunReport:
+              now: dt.datetime, gate: bool = True, load_window: tuple | None = None,
+              full_refresh: bool = False) -> RunReport:
     """One daily run. With ``gate`` an error-severity check failure stops the
     run before the next layer (raises ``CheckFailed``); without it failures
-    are only recorded in the report."""
-    run = DailyRun(spark, root, params, now, gate)
+    are only recorded in the report. ``full_refresh`` rebuilds the incremental
+    models from all landed events (needed when the session timeout changes)."""
+    run = DailyRun(spark, root, params, now, gate, full_refresh)
     run.load(sources, load_window)
     run.freshness()
     run.snapshot()

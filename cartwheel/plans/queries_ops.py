@@ -17,6 +17,7 @@ from cartwheel.operators import rollups as A
 from cartwheel.operators import windows as W
 from cartwheel.operators.joins import asof_join
 from cartwheel.operators.sessionize import sessionize
+from cartwheel.operators.writers import sync_columns
 from cartwheel.params import Params
 from cartwheel.plans import oracle as O
 from cartwheel.plans.declared_checks import DECLARED_CHECKS
@@ -335,6 +336,94 @@ def check_recency_events(spark, sf):
     return Q.check_recency(_m(spark, sf).stg_events, "event_at", RECENCY_NOW, 24)
 
 
+# ---- the same operators where rows of the whole tables fail
+#: Buyers with an order on or after this day count as recent.
+RECENT_ORDERS_FROM = "2001-01-01"
+
+
+@register("check_relationships_events_recent_buyer", O.oracle(f"""
+SELECT e.event_key, e.user_id FROM stg_events e
+WHERE e.user_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM stg_orders o
+                  WHERE o.user_id = e.user_id AND o.ordered_date >= DATE '{RECENT_ORDERS_FROM}')""",
+    "stg_events", "stg_orders"))
+def check_relationships_events_recent_buyer(spark, sf):
+    """Events of users without a recent order."""
+    m = _m(spark, sf)
+    recent = m.stg_orders.where(F.col("ordered_date") >= F.lit(RECENT_ORDERS_FROM).cast("date"))
+    return Q.check_relationships(m.stg_events, "user_id", recent, "user_id").select("event_key", "user_id")
+
+
+@register("check_expression_discount_rate", O.oracle("""
+SELECT order_item_key, discount_rate FROM int_order_items_enriched WHERE NOT (discount_rate >= 0)""",
+    "int_order_items_enriched"))
+def check_expression_discount_rate(spark, sf):
+    return Q.check_expression(_m(spark, sf).int_order_items_enriched, "discount_rate >= 0").select(
+        "order_item_key", "discount_rate")
+
+
+@register("check_unique_order_line", O.oracle("""
+SELECT order_id, order_item_id, count(*) AS n_records FROM stg_order_items
+GROUP BY order_id, order_item_id HAVING count(*) > 1""", "stg_order_items"))
+def check_unique_order_line(spark, sf):
+    return Q.check_unique(_m(spark, sf).stg_order_items, "order_id", "order_item_id")
+
+
+@register("check_equal_rowcount_matched_items", O.oracle("""
+SELECT rows_a, rows_b, rows_a - rows_b AS diff
+FROM (SELECT (SELECT count(*) FROM stg_order_items) AS rows_a,
+             (SELECT count(*) FROM fct_order_items WHERE order_key IS NOT NULL) AS rows_b) c
+WHERE rows_a != rows_b""", "stg_order_items", "fct_order_items"))
+def check_equal_rowcount_matched_items(spark, sf):
+    """Items whose header is missing do not count as matched."""
+    m = _m(spark, sf)
+    return Q.check_equal_rowcount(m.stg_order_items, m.fct_order_items.where(F.col("order_key").isNotNull()))
+
+
+@register("check_orders_with_revenue_complete", O.oracle("""
+SELECT staging_rows, fact_rows, staging_rows - fact_rows AS missing_rows
+FROM (SELECT (SELECT count(*) FROM stg_orders) AS staging_rows,
+             (SELECT count(*) FROM fct_orders WHERE net_revenue > 0) AS fact_rows) c
+WHERE staging_rows != fact_rows""", "stg_orders", "fct_orders"))
+def check_orders_with_revenue_complete(spark, sf):
+    """Orders that bring no net revenue show up as missing rows."""
+    m = _m(spark, sf)
+    return Q.check_fact_not_truncated(m.stg_orders, m.fct_orders.where(F.col("net_revenue") > 0))
+
+
+#: A backfill: every order day lies in the lookback.
+_VOLUME_BACKFILL = Params(run_date=ORDERS_RUN_DATE, lookback_days=4000)
+
+
+@register("check_daily_order_volume_backfill", O.oracle(f"""
+SELECT ordered_date, order_count, round(baseline_avg, 1) AS baseline_avg,
+       round((order_count - baseline_avg) / nullif(baseline_stddev, 0), 2) AS z_score
+FROM baseline
+WHERE baseline_weeks >= 8 AND baseline_stddev > 0
+  AND ordered_date >= DATE '{ORDERS_RUN_DATE}' - INTERVAL {_VOLUME_BACKFILL.lookback_days} DAY
+  AND ordered_date < DATE '{ORDERS_RUN_DATE}'
+  AND abs((order_count - baseline_avg) / nullif(baseline_stddev, 0)) > 3""",
+    "daily_order_count", extra=_BASELINE_CTE))
+def check_daily_order_volume_backfill(spark, sf):
+    return Q.check_daily_order_volume(_m(spark, sf).fct_orders, _VOLUME_BACKFILL)
+
+
+@register("failure_trend", O.oracle(f"""
+SELECT 'accepted_department' AS "check", DATE '{ORDERS_RUN_DATE}' AS run_date, count(*) AS failing_rows
+FROM stg_products WHERE department_name NOT IN ('Men', 'Women') HAVING count(*) > 0
+UNION ALL
+SELECT 'unique_order_line', DATE '{ORDERS_RUN_DATE}', count(*)
+FROM (SELECT 1 FROM stg_order_items GROUP BY order_id, order_item_id HAVING count(*) > 1) d HAVING count(*) > 0""",
+    "stg_products", "stg_order_items"))
+def failure_trend(spark, sf):
+    """X12 over the failing rows of two checks, as the failure store keeps them."""
+    failing = {"accepted_department": check_accepted_values_department(spark, sf),
+               "unique_order_line": check_unique_order_line(spark, sf)}
+    stored = [df.select(F.lit(name).alias("check"), F.lit(ORDERS_RUN_DATE).alias("run_date"))
+              for name, df in failing.items()]
+    return X.failure_trend(stored[0].unionByName(stored[1]))
+
+
 # ====================================================================== history
 def product_state_1(spark, sf) -> DataFrame:
     return raw_source(spark, sf, "products").select(*H.PRODUCT_SNAPSHOT_COLS)
@@ -421,6 +510,63 @@ def load_insert_only_delta(spark, sf):
     return insert_only_delta(product_state_2(p1), p1, "id")
 
 
+@register("check_relationships_item_listed_product", O.oracle("""
+SELECT i.order_item_key, i.product_id FROM stg_order_items i
+WHERE i.product_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM p2 WHERE p2.id = i.product_id)""",
+    "stg_order_items", "p2"))
+def check_relationships_item_listed_product(spark, sf):
+    """Items of a product that the second product state no longer lists."""
+    listed = product_state_2(product_state_1(spark, sf))
+    return Q.check_relationships(_m(spark, sf).stg_order_items, "product_id", listed, "id").select(
+        "order_item_key", "product_id")
+
+
+@register("upsert_products", O.oracle("""
+SELECT p1.* FROM p1 WHERE NOT EXISTS (SELECT 1 FROM p2 WHERE p2.id = p1.id)
+UNION ALL SELECT p2.* FROM p2""", "p1", "p2"))
+def upsert_products(spark, sf):
+    """The second product state merged into the first; the row it lacks stays."""
+    p1 = product_state_1(spark, sf)
+    return X.upsert(p1, product_state_2(p1), "id")
+
+
+@register("periodic_snapshot_products", O.oracle(f"""
+SELECT p1.*, DATE '{EVENTS_RUN_DATE}' AS snapshot_date FROM p1""", "p1"))
+def periodic_snapshot_products(spark, sf):
+    return X.periodic_snapshot(product_state_1(spark, sf), EVENTS_RUN_DATE)
+
+
+@register("sync_columns_products", O.oracle("""
+SELECT id, name, brand, category, department, CAST(NULL AS varchar) AS sku, cost, distribution_center_id FROM p1""",
+    "p1"))
+def sync_columns_products(spark, sf):
+    """Existing rows without a SKU take the columns of a state that has one and lost the price."""
+    p1 = product_state_1(spark, sf)
+    return sync_columns(p1.drop("sku"), product_state_2(p1).drop("retail_price"))
+
+
+@register("scd2_timestamp", O.oracle(f"""
+SELECT p1.id, p1.retail_price, TIMESTAMP '{SNAPSHOT_TS1}' AS _valid_from,
+       CASE WHEN q2.id IS NULL OR q2.updated_at > TIMESTAMP '{SNAPSHOT_TS1}' THEN TIMESTAMP '{SNAPSHOT_TS2}' END AS _valid_to
+FROM p1 LEFT JOIN q2 ON p1.id = q2.id
+UNION ALL
+SELECT q2.id, q2.retail_price, q2.updated_at, CAST(NULL AS TIMESTAMP)
+FROM q2 LEFT JOIN p1 ON p1.id = q2.id
+WHERE p1.id IS NULL OR q2.updated_at > TIMESTAMP '{SNAPSHOT_TS1}'""", "p1", "p2",
+    extra={"q2": f"""SELECT p2.*, CASE WHEN cost > 570 THEN TIMESTAMP '{SNAPSHOT_TS2}'
+                                   ELSE TIMESTAMP '{SNAPSHOT_TS1}' END AS updated_at FROM p2"""}))
+def scd2_timestamp(spark, sf):
+    """A newer ``updated_at`` opens a version, whatever the values; other changes do not."""
+    p1 = product_state_1(spark, sf)
+    at = lambda ts: F.lit(ts).cast("timestamp")
+    s1 = p1.withColumn("updated_at", at(SNAPSHOT_TS1))
+    s2 = product_state_2(p1).withColumn("updated_at", F.when(F.col("cost") > 570, at(SNAPSHOT_TS2))
+                                        .otherwise(at(SNAPSHOT_TS1)))
+    by = {"strategy": "timestamp", "updated_at": "updated_at"}
+    return H.scd2_apply(H.scd2_apply(None, s1, "id", SNAPSHOT_TS1, **by), s2, "id", SNAPSHOT_TS2, **by).select(
+        "id", "retail_price", "_valid_from", "_valid_to")
+
+
 @register("scd2_diff", O.oracle(f"""
 SELECT product_history_key, product_id, retail_price, valid_from, valid_to, is_current
 FROM dim_products_history

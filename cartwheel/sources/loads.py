@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import in_window
-from cartwheel.operators.writers import (empty_partition, ensure_table, partition_values,
-                                         read_table, table_exists, write_partitions, write_table)
-from cartwheel.sources.registry import (FULL_REPLACE, LOOKBACK_DAYS, MERGE_INSERT_ONLY,
-                                        PARTITION_OVERWRITE, TABLES, TABLES_BY_NAME, TableSpec)
+from cartwheel.operators.writers import (empty_partition, ensure_table, partition_values, read_table,
+                                         table_exists, with_partition_date, write_partitions, write_table)
+from cartwheel.params import Params
+from cartwheel.sources.registry import (DAY_COLUMN, FULL_REPLACE, LANDINGS, MERGE_INSERT_ONLY,
+                                        PARTITION_OVERWRITE, Landing)
 
 
 def with_ingested_at(df: DataFrame, ts: dt.datetime | str) -> DataFrame:
@@ -38,9 +39,9 @@ def insert_only_delta(src: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 def load_window_overwrite(spark: SparkSession, src: DataFrame, path: str, event_time: str,
                           start, end, cluster_by: tuple[str, ...] = (),
-                          part: str = "_partition_date") -> dict:
+                          part: str = DAY_COLUMN) -> dict:
     """Replace the window [start, end] (inclusive) of a day-partitioned table."""
-    new = src.withColumn(part, F.to_date(F.col(event_time))).where(in_window(part, start, end))
+    new = with_partition_date(src, event_time, part).where(in_window(part, start, end))
     ensure_table(spark, new, path, part)
     write_partitions(new, path, part, cluster_by)
     # Window days the source no longer has must be emptied as well.
@@ -68,33 +69,34 @@ def load_insert_only(spark: SparkSession, src: DataFrame, path: str, key: str) -
     return delta
 
 
-def load_table(spark: SparkSession, spec: TableSpec, src: DataFrame, path: str,
+def load_table(spark: SparkSession, how: Landing, src: DataFrame, path: str,
                start=None, end=None, ingested_at=None) -> dict:
-    """Dispatch on the table's strategy; an unknown strategy is an error."""
+    """Load by the source's write mode; an unknown mode is an error."""
     if ingested_at is not None:
         src = with_ingested_at(src, ingested_at)
-    if spec.strategy == PARTITION_OVERWRITE:
+    if how.mode == PARTITION_OVERWRITE:
         if start is None or end is None:
-            raise ValueError(f"{spec.name}: partition_overwrite needs a window")
-        return load_window_overwrite(spark, src, path, spec.event_time_column, start, end,
-                                     spec.cluster_by)
-    if spec.strategy == FULL_REPLACE:
+            raise ValueError(f"{path}: {how.mode} needs a window")
+        return load_window_overwrite(spark, src, path, how.event_time, start, end, how.sorted_by)
+    if how.mode == FULL_REPLACE:
         return load_full_replace(spark, src, path)
-    if spec.strategy == MERGE_INSERT_ONLY:
-        load_insert_only(spark, src, path, spec.primary_key)
+    if how.mode == MERGE_INSERT_ONLY:
+        load_insert_only(spark, src, path, how.key)
         return {"merged": True}
-    raise ValueError(f"unknown load strategy: {spec.strategy}")
+    raise ValueError(f"unknown write mode: {how.mode}")
 
 
 def resolve_window(run_date: dt.date | None = None, start: dt.date | None = None,
                    end: dt.date | None = None, lookback: int | None = None) -> tuple[dt.date, dt.date]:
     """Explicit [start, end], or ``lookback`` days back from run_date (both inclusive)."""
+    if (start is None) != (end is None):
+        raise ValueError("start and end go together")
     if start is not None and end is not None:
         if start > end:
             raise ValueError("start after end")
         return start, end
     run_date = run_date or dt.date.today()
-    days = LOOKBACK_DAYS if lookback is None else lookback
+    days = Params.lookback_days if lookback is None else lookback
     return run_date - dt.timedelta(days=days), run_date
 
 
@@ -106,30 +108,33 @@ def run_loads(spark: SparkSession, sources: dict[str, DataFrame], root: str,
     """Load every (or the named) table. An unknown table name raises
     ``KeyError`` before anything is written. ``dry_run`` returns the plan text of
     each load's source instead of writing."""
-    names = tables or [t.name for t in TABLES]
-    unknown = [n for n in names if n not in TABLES_BY_NAME]
+    names = tables or list(LANDINGS)
+    unknown = [n for n in names if n not in LANDINGS]
     if unknown:
         raise KeyError(f"unknown tables: {unknown}")
     w_start, w_end = resolve_window(run_date, start, end, lookback)
     report = {}
     for name in names:
-        spec = TABLES_BY_NAME[name]
+        how = LANDINGS[name]
         path = f"{root.rstrip('/')}/{name}"
         if dry_run:
-            report[name] = {"strategy": spec.strategy, "path": path,
-                            "window": (str(w_start), str(w_end)) if spec.event_time_column else None}
+            report[name] = {"strategy": how.mode, "path": path,
+                            "window": (str(w_start), str(w_end)) if how.event_time else None}
             continue
-        report[name] = load_table(spark, spec, sources[name], path, w_start, w_end, ingested_at)
+        report[name] = load_table(spark, how, sources[name], path, w_start, w_end, ingested_at)
     return report
 
 
 def read_landed(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A landed table as a source frame (the physical partition column dropped)."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
-    spec = TABLES_BY_NAME[name]
-    return df.drop(spec.partition_column) if spec.partition_column else df
+    """A landed table; a day-partitioned one keeps DAY_COLUMN, which ``landed_days`` prunes by."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+
+
+def landed_days(landed: DataFrame, start, end) -> DataFrame:
+    """The rows of the days [start, end]: only those day folders are listed and opened."""
+    return landed.where(in_window(DAY_COLUMN, start, end))
 
 
 __all__ = ["with_ingested_at", "insert_only_delta", "load_window_overwrite", "load_full_replace",
            "load_insert_only", "load_table", "run_loads", "resolve_window", "read_landed",
-           "table_exists"]
+           "landed_days", "table_exists"]

@@ -14,6 +14,8 @@ partitions with the same rows (idempotent sink), and the checkpoint location
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,20 +29,40 @@ from cartwheel.plans.intermediate import int_events_sessionized
 
 def reprocess_days(spark: SparkSession, landed_events: DataFrame, days: list[dt.date], target: str,
                    params: Params) -> str:
-    """Re-sessionize the given days (with their read buffer) and replace their
+    """Re-sessionize the given days and the buffer days after them (a late event
+    also moves the session starts of the following day), and replace those
     partitions in the target. Returns the write mode used."""
     if not days:
         return "noop"
-    # One contiguous window covering the touched days: [min - buffer, max].
-    window_params = Params(run_date=max(days), lookback_days=(max(days) - min(days)).days,
-                           session_timeout_minutes=params.session_timeout_minutes,
-                           session_buffer_days=params.session_buffer_days,
-                           session_bucket_seconds=params.session_bucket_seconds)
-    incremental = table_exists(spark, target)
-    out = int_events_sessionized(stg_events(landed_events), window_params, incremental=incremental)
+    if not table_exists(spark, target):
+        out = int_events_sessionized(stg_events(landed_events), params)
+    else:
+        out = reduce(DataFrame.unionByName, [_range_sessions(landed_events, first, last, params)
+                                             for first, last in day_ranges(days, params.session_buffer_days)])
     return write_incremental(spark, out, target, "event_date", ("user_id",))
 
 
+def day_ranges(days: list[dt.date], after: int) -> list[tuple[dt.date, dt.date]]:
+    """Inclusive ranges of the days, each with ``after`` days more; ranges that touch are one."""
+    out: list[tuple[dt.date, dt.date]] = []
+    for day in sorted(days):
+        last = day + dt.timedelta(days=after)
+        if out and day <= out[-1][1] + dt.timedelta(days=1):
+            out[-1] = (out[-1][0], last)
+        else:
+            out.append((day, last))
+    return out
+
+
+def _range_sessions(landed_events: DataFrame, first: dt.date, last: dt.date, params: Params) -> DataFrame:
+    """Sessionized events of [first, last]; the bounds on the event time reach the Parquet scan."""
+    window = replace(params, run_date=last, lookback_days=(last - first).days)
+    low, high = window.lookback_start(window.session_buffer_days), last + dt.timedelta(days=1)
+    at = F.col("created_at")
+    events = landed_events.where((at >= F.lit(str(low)).cast("timestamp")) & (at < F.lit(str(high)).cast("timestamp")))
+    return int_events_sessionized(stg_events(events), window, incremental=True)
+
+
 def start_sessionization_stream(spark: SparkSession, landing_path: str, schema, target: str,
                                 checkpoint: str, params: Params | None = None,
                                 trigger: dict | None = None) -> StreamingQuery:

@@ -7,9 +7,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.operators.history import (apply_keyed_updates, dim_products_history, expand_history,
-                                         latest_per_key, scd2_apply, window_latest_per_key)
+                                         latest_per_key, scd2_apply)
 from cartwheel.operators.joins import asof_join
 from conftest import rows
+from plain_forms import window_latest_per_key
 
 S = "id long, name string, brand string, category string, department string, sku string, " \
     "cost double, retail_price double, distribution_center_id long"

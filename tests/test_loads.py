@@ -5,9 +5,10 @@ import datetime as dt
 
 import pytest
 
-from cartwheel.sources.loads import (insert_only_delta, load_full_replace, load_insert_only,
-                                     load_table, load_window_overwrite, run_loads, with_ingested_at)
-from cartwheel.sources.registry import TABLES_BY_NAME, TableSpec
+from cartwheel.sources.loads import (insert_only_delta, landed_days, load_full_replace, load_insert_only,
+                                     load_table, load_window_overwrite, read_landed, resolve_window,
+                                     run_loads, with_ingested_at)
+from cartwheel.sources.registry import LANDINGS, Landing
 from conftest import rows
 
 SCHEMA = "id long, created_at timestamp, v string"
@@ -62,7 +63,7 @@ def test_insert_only_never_updates(spark, tmp_path):
 def test_unknown_strategy_and_table(spark, tmp_path):
     df = spark.createDataFrame([(1, d(1), "a")], SCHEMA)
     with pytest.raises(ValueError):
-        load_table(spark, TableSpec("x", "upsert_everything", "r"), df, str(tmp_path / "x"))
+        load_table(spark, Landing("upsert_everything"), df, str(tmp_path / "x"))
     with pytest.raises(KeyError):
         run_loads(spark, {}, str(tmp_path), tables=["orders", "nope"])
 
@@ -80,10 +81,24 @@ def test_ingested_at_is_injected(spark):
 
 
 def test_registry_strategies():
-    assert TABLES_BY_NAME["events"].strategy == "partition_overwrite"
-    assert TABLES_BY_NAME["users"].strategy == "full_replace"
-    assert TABLES_BY_NAME["products"].strategy == "merge_insert_only"
-    assert TABLES_BY_NAME["orders"].primary_key == "order_id"
+    assert LANDINGS["events"].mode == "partition_overwrite"
+    assert LANDINGS["users"].mode == "full_replace"
+    assert LANDINGS["products"].mode == "merge_insert_only"
+    assert LANDINGS["orders"].key == "order_id"
+
+
+def test_lone_window_bound_is_an_error():
+    with pytest.raises(ValueError):
+        resolve_window(start=dt.date(2024, 1, 1))
+
+
+def test_landed_days_prunes_day_folders(spark, tmp_path, capsys):
+    src = spark.createDataFrame([(i, d(i), "x") for i in range(1, 9)], SCHEMA)
+    load_window_overwrite(spark, src, str(tmp_path / "events"), "created_at", "2024-01-01", "2024-01-31")
+    got = landed_days(read_landed(spark, str(tmp_path), "events"), "2024-01-03", "2024-01-05").select("id")
+    assert rows(got) == [(3,), (4,), (5,)]
+    got.explain()
+    assert "PartitionFilters: [isnotnull(_partition_date" in capsys.readouterr().out
 
 
 def test_cli_unknown_table_exits_2(spark, tmp_path, capsys):

@@ -6,11 +6,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cartwheel.operators.sessionize import (assign_sessions, assign_sessions_single_window,
-                                            sessionize)
+from cartwheel.operators.sessionize import assign_sessions, sessionize
 from cartwheel.params import Params
 from cartwheel.plans.models import Models
 from conftest import SF_SMALL, rows
+from plain_forms import assign_sessions_single_window
 
 COLS = ("event_key string, event_id long, user_id long, event_at timestamp, event_date date, "
         "event_type string, source_session_id string, traffic_source string, browser string, uri string")
