@@ -2,8 +2,9 @@
 
 Statistics of a text are Spark column expressions. Shallow trees are grown on a
 bounded sample of labelled rows (``sample`` a class at most, by hash of the id:
-the only bound, a parameter), every path of a tree is a conjunctive rule over
-the statistics, a lasso-penalised logistic regression keeps few rules and gives
+the only bound, a parameter; a sampled row weighs as many labelled rows of its
+class as it stands for, so scores do not depend on whether the bound bites),
+every path of a tree is a conjunctive rule over the statistics, a lasso-penalised logistic regression keeps few rules and gives
 them weights, and the surviving rules are compiled to one Spark expression, so
 scoring is a single pass over the documents with no Python.
 
@@ -65,45 +66,49 @@ def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 # --- trees, rules, lasso: on the bounded sample --------------------------------------
 
-def _split(x, g, rows, least=20, cuts=32):
-    """(gain, feature, threshold) of the best least-squares split of ``g`` over ``rows``."""
+def _split(x, g, rows, weight, least=20, cuts=32):
+    """(gain, feature, threshold) of the best weighted least-squares split of ``g`` over ``rows``."""
     best = (1e-9, None, None)
-    total, n = g[rows].sum(), len(rows)
+    r, n = weight[rows], len(rows)
+    rg = r * g[rows]
+    total, mass = rg.sum(), r.sum()
     for j in range(x.shape[1]):
         v = x[rows, j]
         order = np.argsort(v, kind="stable")
-        s, c = v[order], np.cumsum(g[rows][order])
+        s, c, m = v[order], np.cumsum(rg[order]), np.cumsum(r[order])
         at = np.unique(np.linspace(least, n - least, cuts).astype(int)) if n > 2 * least else []
         for i in at:
             if 0 < i < n and s[i - 1] < s[i]:
-                gain = c[i - 1] ** 2 / i + (total - c[i - 1]) ** 2 / (n - i) - total ** 2 / n
+                gain = c[i - 1] ** 2 / m[i - 1] + (total - c[i - 1]) ** 2 / (mass - m[i - 1]) - total ** 2 / mass
                 if gain > best[0]:
                     best = (gain, j, (s[i - 1] + s[i]) / 2)
     return best
 
 
-def _grow(x, g, rows, depth, path, paths, out):
+def _grow(x, g, rows, weight, depth, path, paths, out):
     if depth and len(rows) >= 40:
-        _, j, t = _split(x, g, rows)
+        _, j, t = _split(x, g, rows, weight)
         if j is not None:
             for low in (True, False):
                 part = rows[(x[rows, j] <= t) == low]
                 new = (*path, (j, low, float(t)))
                 paths.append(new)
-                _grow(x, g, part, depth - 1, new, paths, out)
+                _grow(x, g, part, weight, depth - 1, new, paths, out)
             return
-    out[rows] = g[rows].mean() if len(rows) else 0
+    out[rows] = (weight[rows] * g[rows]).sum() / weight[rows].sum() if len(rows) else 0
 
 
-def tree_rules(x: np.ndarray, y: np.ndarray, trees: int = 12, depth: int = 3, seed: int = 3) -> list[tuple]:
+def tree_rules(x: np.ndarray, y: np.ndarray, trees: int = 12, depth: int = 3, seed: int = 3,
+               weight: np.ndarray | None = None) -> list[tuple]:
     """Distinct paths of ``trees`` boosted shallow trees: tuples of (feature, is_low, threshold)."""
     rng = np.random.default_rng(seed)
+    weight = np.ones(len(y)) if weight is None else weight
     f, rules = np.zeros(len(y)), {}
     for _ in range(trees):
         g = y - 1 / (1 + np.exp(-f))
         rows = np.sort(rng.choice(len(y), max(1, int(0.7 * len(y))), replace=False))
         paths, step = [], np.zeros(len(y))
-        _grow(x, g, rows, depth, (), paths, step)
+        _grow(x, g, rows, weight, depth, (), paths, step)
         f = f + 2 * step
         rules.update(dict.fromkeys(paths))
     return list(rules)
@@ -117,15 +122,17 @@ def rule_matrix(x: np.ndarray, rules: list[tuple]) -> np.ndarray:
     return out
 
 
-def lasso_logistic(z: np.ndarray, y: np.ndarray, penalty: float = 2e-3, steps: int = 400) -> tuple[float, np.ndarray]:
-    """(intercept, weights) by accelerated proximal gradient."""
+def lasso_logistic(z: np.ndarray, y: np.ndarray, penalty: float = 2e-3, steps: int = 400,
+                   weight: np.ndarray | None = None) -> tuple[float, np.ndarray]:
+    """(intercept, weights) by accelerated proximal gradient; ``weight``: how much each row counts."""
     n, m = z.shape
+    r = np.ones(n) if weight is None else weight * (n / weight.sum())
     z1 = np.hstack([np.ones((n, 1)), z])
-    rate = 4 * n / max(1e-9, np.linalg.norm(z1, 2) ** 2)
+    rate = 4 * n / max(1e-9, np.linalg.norm(z1 * np.sqrt(r)[:, None], 2) ** 2)
     w = v = np.zeros(m + 1)
     t = 1.0
     for _ in range(steps):
-        grad = z1.T @ (1 / (1 + np.exp(-np.clip(z1 @ v, -30, 30))) - y) / n
+        grad = z1.T @ (r * (1 / (1 + np.exp(-np.clip(z1 @ v, -30, 30))) - y)) / n
         new = v - rate * grad
         new[1:] = np.sign(new[1:]) * np.maximum(0, np.abs(new[1:]) - rate * penalty)
         t1 = (1 + math.sqrt(1 + 4 * t * t)) / 2
@@ -154,10 +161,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len(rows) < 40 or len(set(y)) < 2:
         return flat
     x = np.array([[r[k] for k in names] for r in rows], float)
-    rules = tree_rules(x, y)
+    share = {c: weights[c] / min(weights[c], sample) for c in (0, 1)}  # labelled rows that a sampled row stands for
+    stands = np.array([share[int(c)] for c in y])
+    rules = tree_rules(x, y, weight=stands)
     if not rules:
         return flat
-    b, w = lasso_logistic(rule_matrix(x, rules), y)
+    b, w = lasso_logistic(rule_matrix(x, rules), y, weight=stands)
     keep = np.flatnonzero(np.abs(w) > 1e-6)
     return {"intercept": b, "rules": [(float(w[k]), rules[k]) for k in keep], "names": names}
 

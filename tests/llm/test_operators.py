@@ -327,3 +327,22 @@ def test_classifiers_odd_input(docs, nothing, spark):
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 50
+
+
+def test_quality_score_does_not_depend_on_the_cap(spark):
+    """Nine in ten labels are good, the statistics tell little: the scores keep that share, sampled or not."""
+    importable(spark)
+    rng = np.random.default_rng(8)
+    rows, labels = [], []
+    for i in range(4000):
+        good = int(rng.random() < 0.9)
+        digits = rng.random() < (0.3 if good else 0.7)
+        rows.append((i, " ".join(["12345" if digits else "word"] * int(rng.integers(5, 40)))))
+        labels.append((i, good))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    known = spark.createDataFrame(labels, "doc_id long, label int")
+    whole, part = ({r.doc_id: r.score for r in quality.score(docs, quality.fit(docs, known, sample=n)).collect()} for n in (4000, 300))
+    assert np.mean(list(whole.values())) == pytest.approx(0.9, abs=0.02)
+    assert np.mean(list(part.values())) == pytest.approx(0.9, abs=0.04)
+    assert np.mean([abs(whole[i] - part[i]) for i in whole]) < 0.05
+    assert np.mean([(whole[i] >= 0.7) != (part[i] >= 0.7) for i in whole]) < 0.05
