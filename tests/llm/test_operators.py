@@ -346,3 +346,31 @@ def test_quality_score_does_not_depend_on_the_cap(spark):
     assert np.mean(list(part.values())) == pytest.approx(0.9, abs=0.04)
     assert np.mean([abs(whole[i] - part[i]) for i in whole]) < 0.05
     assert np.mean([(whole[i] >= 0.7) != (part[i] >= 0.7) for i in whole]) < 0.05
+
+
+def test_toxicity_does_not_depend_on_the_cap(spark, monkeypatch):
+    """One label in ten is toxic, the words tell little: the probabilities keep that share, sampled or not."""
+    importable(spark)
+    monkeypatch.setattr(toxicity, "STARTS", ())  # whole words only
+    rng = np.random.default_rng(9)
+    rows, labels = [], []
+    for i in range(2000):
+        bad = int(rng.random() < 0.1)
+        words = [f"w{k}" for k in rng.integers(0, 8, 6)] + ["rude"] * int(rng.random() < (0.5 if bad else 0.1))
+        rows.append((i, " ".join(words)))
+        labels.append((i, bad))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    weak = toxicity.weak_grades(docs, known, sample=150)
+    stood_for = weak.groupBy((F.col("grade") > 0).cast("int").alias("bad")).agg(F.sum("weight").alias("n"))
+    assert {r.bad: round(r.n) for r in stood_for.collect()} == Counter(b for _, b in labels)
+
+    def toxic(grades, n):
+        model = toxicity.fit(docs, grades, sample=n)
+        return {r.doc_id: 1 - r.p_grades[0] for r in toxicity.score(docs, model).collect()}
+
+    whole = toxic(known.withColumnRenamed("toxic", "grade"), 2000)
+    part = toxic(weak.withColumn("grade", F.least("grade", F.lit(1))), 150)
+    assert np.mean(list(whole.values())) == pytest.approx(0.1, abs=0.02)
+    assert np.mean(list(part.values())) == pytest.approx(0.1, abs=0.04)
+    assert np.mean([(whole[i] > 0.5) != (part[i] > 0.5) for i in whole]) < 0.05
