@@ -6,13 +6,15 @@ patterns to source quotas by a min-cost flow: a pattern offers its size once
 per epoch, each repetition at a higher cost (convex), so nothing is repeated
 while fresh words of a source are left. The amount that leaves a pattern is then
 taken from its documents: whole epochs of all of them, and for the rest a
-seeded choice: documents in the order of a seeded hash up to the cut-off.
+seeded choice: documents in the order of a seeded hash, each that still fits, and
+at last the one nearest to what is then open if that comes nearer the target.
 
 What reaches the driver is one row per pattern and per source, and 256 sums per
-pattern and round of the radix search for the cut-off: these depend on the mix
+pattern and round of the radix search for the cut-off, or about ``CANDIDATES``
+documents a pattern and round of filling the gap behind it: these depend on the mix
 that is asked for, not on the number of documents (more than ``MAX_PATTERNS``
 patterns are refused with an error, never dropped). The choice itself is a
-filter on (hash, cut-off), so no group of rows meets in one task.
+filter on (hash, ranges of the hash with the largest size taken there), so no group of rows meets in one task.
 
 Targets: sources in code-point order (null last) weigh 5, 2, 1, repeating, and
 share the total size; a target stops at 3 times its source's size and what is
@@ -38,6 +40,8 @@ from cartwheel.llm.common import WORD, stored
 WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 MAX_PATTERNS = 100_000
+CANDIDATES = 256
+LOW, HIGH = -(1 << 63), (1 << 63) - 1
 EPOCH_COSTS = (0, 10, 30)  # convex: each further repetition costs more than the one before
 
 
@@ -149,7 +153,7 @@ def _keyed(docs: DataFrame, sources: Column, id_col: str, text_col: str, seed: i
 
 
 def plan(keyed: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
-    """One row per pattern: whole epochs, cut-off of the hash, and its sources' sizes and targets.
+    """One row per pattern: whole epochs, ranges of the hash taken once more, and its sources' sizes and targets.
 
     ``keyed`` has __pattern, __size, __h and is read several times.
     """
@@ -169,12 +173,17 @@ def plan(keyed: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     out = {p: divmod(routed.get(p, 0), size) if size else (0, 0) for p, size in supply.items()}
     cut = _cutoffs(keyed, {p: rest for p, (_, rest) in out.items() if rest})
     return spark.createDataFrame(
-        [(list(p), int(whole), *cut.get(p, (None, None)), [(s, sizes[s], float(quota[s])) for s in p]) for p, (whole, _) in out.items()],
-        "__pattern array<string>, __whole long, __upto long, __also long, by_source array<struct<source:string,source_size:long,target:double>>")
+        [(list(p), int(whole), *cut.get(p, ([], None)), [(s, sizes[s], float(quota[s])) for s in p]) for p, (whole, _) in out.items()],
+        "__pattern array<string>, __whole long, __ranges array<struct<first:long,last:long,cap:long>>, __also long, by_source array<struct<source:string,source_size:long,target:double>>")
+
+
+def _in_ranges() -> Column:
+    h = F.col("__h")
+    return F.exists("__ranges", lambda r: (h >= r["first"]) & (h <= r["last"]) & (F.col("__size") <= r["cap"]))
 
 
 def _times() -> Column:
-    return F.col("__whole") + F.when((F.col("__h") <= F.col("__upto")) | (F.col("__h") == F.col("__also")), 1).otherwise(0)
+    return F.col("__whole") + F.when(_in_ranges() | (F.col("__h") == F.col("__also")), 1).otherwise(0)
 
 
 def taken(docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str = "text", seed: int = 7,
@@ -219,28 +228,106 @@ def _quotas(supply: dict, sizes: dict, weights, epochs: int) -> dict:
 
 
 def _cutoffs(keyed: DataFrame, rest: dict) -> dict:
-    """pattern -> (largest hash taken, hash of one more document), by radix search.
+    """pattern -> (ranges (first, last, largest size) of the hash taken, hash of one more document).
+
+    The documents are taken in hash order, each that fits what is open then. A
+    radix search takes those up to the first that does not fit; behind it only
+    documents of the gap's size at most are looked at, and so on until none is
+    left. Where few fill the gap, the next ones in hash order are fetched and
+    taken one by one. Of the documents that are left, the one whose size is
+    nearest to what is still open fills it if that comes nearer.
+    """
+    if not rest:
+        return {}
+    spark = keyed.sparkSession
+    ranges: dict = {p: [] for p in rest}
+    state = {p: (LOW, HIGH, words) for p, words in rest.items()}  # first hash not decided, largest size, words open
+    gap = dict(rest)
+    search = dict(state)
+    while state:
+        for p, (upto, left, tie) in _prefix(keyed, search).items():
+            first, cap, _ = state[p]
+            if upto >= first:
+                ranges[p].append((first, upto, cap))
+            gap[p] = left
+            state[p] = (upto + 1 + tie, left, left)
+        state = {p: x for p, x in state.items() if x[0] <= HIGH and x[2] > 0}
+        if not state:
+            break
+        seen = _open(keyed, state).groupBy("__pattern").agg(F.approx_count_distinct("__h").alias("n"), F.sum("__size").alias("words")).collect()
+        seen = {tuple(r[0]): r for r in seen}
+        state = {p: x for p, x in state.items() if p in seen}  # nothing else fits in the others
+        search, near = {}, {}
+        for p, (first, cap, left) in state.items():
+            n, words = seen[p].n, seen[p].words
+            if left * n > CANDIDATES * words and words > left:
+                search[p] = state[p]  # many documents fill the gap
+            else:
+                near[p] = HIGH if n <= CANDIDATES else min(HIGH, first + (HIGH - first) * CANDIDATES // n)
+        for p, groups in _groups(keyed, state, near).items():
+            first, cap, left = state[p]
+            for h, size in groups:
+                if size > left:  # from here on only smaller ones
+                    if h > first:
+                        ranges[p].append((first, h - 1, cap))
+                    first, cap = h + 1, left
+                else:
+                    left -= size
+            if near[p] >= first:
+                ranges[p].append((first, near[p], cap))
+            state[p] = (near[p] + 1, left, left)
+            gap[p] = left
+        for p in near:
+            if p not in search and (state[p][0] > HIGH or not state[p][2]):
+                del state[p]
+    frame = spark.createDataFrame([(list(p), ranges[p], gap[p]) for p in rest],
+                                  "__pattern array<string>, __ranges array<struct<first:long,last:long,cap:long>>, gap long")
+    beyond = keyed.join(F.broadcast(frame), "__pattern").filter((F.col("__size") > 0) & (F.col("gap") > 0) & ~_in_ranges())
+    best = beyond.groupBy("__pattern").agg(F.min(F.struct(F.abs(F.col("__size") - F.col("gap")).alias("miss"), F.col("__h").alias("h"))).alias("b")).collect()
+    also = {tuple(r[0]): r.b.h for r in best if r.b.miss < gap[tuple(r[0])]}
+    return {p: (ranges[p], also.get(p)) for p in rest}
+
+
+def _open(keyed: DataFrame, state: dict) -> DataFrame:
+    """The documents from a pattern's first undecided hash on that are not larger than its cap."""
+    frame = keyed.sparkSession.createDataFrame([(list(p), first, cap) for p, (first, cap, _) in state.items()], "__pattern array<string>, first long, cap long")
+    return keyed.join(F.broadcast(frame), "__pattern").filter((F.col("__h") >= F.col("first")) & (F.col("__size") <= F.col("cap")) & (F.col("__size") > 0))
+
+
+def _groups(keyed: DataFrame, state: dict, near: dict) -> dict:
+    """pattern -> (hash, size of all its rows) up to the hash in ``near``, in order."""
+    if not near:
+        return {}
+    last = keyed.sparkSession.createDataFrame([(list(p), h) for p, h in near.items()], "__pattern array<string>, last long")
+    part = _open(keyed, {p: state[p] for p in near}).join(F.broadcast(last), "__pattern").filter(F.col("__h") <= F.col("last"))
+    out: dict = {p: [] for p in near}
+    for r in part.groupBy("__pattern", "__h").agg(F.sum("__size").alias("size")).collect():
+        out[tuple(r[0])].append((r[1], r.size))
+    return {p: sorted(g) for p, g in out.items()}
+
+
+def _prefix(keyed: DataFrame, search: dict) -> dict:
+    """pattern -> (last hash up to which the open documents fit, words left, whether the next hash is shared), by radix search.
 
     Each round sums sizes by the next eight bits of the hash inside the bucket where
     the pattern's quota falls, so the driver sees 256 sums a pattern; the last
-    bucket is one hash value. Documents up to the cut-off fit the quota; of those
-    beyond it, the one whose size is nearest to what is still open fills the gap.
+    bucket is one hash value.
     """
-    if not rest:
+    if not search:
         return {}
     spark = keyed.sparkSession
-    key = F.col("__h").bitwiseXOR(F.lit(-(1 << 63)))  # order of the unsigned key = order of h
-    state = {p: (0, words) for p, words in rest.items()}  # prefix so far, words still to take
+    rows = _open(keyed, search).select("__pattern", "__size", F.col("__h").bitwiseXOR(F.lit(LOW)).alias("key"))  # order of the unsigned key = order of h
+    state = {p: (0, words) for p, (_, _, words) in search.items()}  # prefix so far, words still to take
     done: dict = {}
     for level in range(8):
         if not state:
             break
         shift = 56 - 8 * level
         frame = spark.createDataFrame([(list(p), prefix) for p, (prefix, _) in state.items()], "__pattern array<string>, prefix long")
-        inside = keyed.join(F.broadcast(frame), "__pattern")
+        inside = rows.join(F.broadcast(frame), "__pattern")
         if level:
-            inside = inside.filter(F.shiftrightunsigned(key, shift + 8) == F.col("prefix"))
-        sums = inside.groupBy("__pattern", F.shiftrightunsigned(key, shift).bitwiseAND(F.lit(255)).alias("digit")) \
+            inside = inside.filter(F.shiftrightunsigned("key", shift + 8) == F.col("prefix"))
+        sums = inside.groupBy("__pattern", F.shiftrightunsigned("key", shift).bitwiseAND(F.lit(255)).alias("digit")) \
             .agg(F.sum("__size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
         by: dict = {}
         for r in sums:
@@ -255,16 +342,8 @@ def _cutoffs(keyed: DataFrame, rest: dict) -> dict:
                 words -= size
             top = prefix << 8
             if alone or not shift:  # all before this digit fit
-                done[p] = (((top + digit) << shift) - 1 - (1 << 63), words)
+                done[p] = (((top + digit) << shift) - 1 + LOW, words, not alone)
             else:
                 after[p] = (top + digit, words)
         state = after
-    out = {p: (upto if upto >= -(1 << 63) else None, None) for p, (upto, _) in done.items()}
-    frame = spark.createDataFrame([(list(p), out[p][0], words) for p, (_, words) in done.items()], "__pattern array<string>, upto long, gap long")
-    beyond = keyed.join(F.broadcast(frame), "__pattern").filter(F.col("upto").isNull() | (F.col("__h") > F.col("upto")))
-    miss = F.abs(F.col("__size") - F.col("gap"))
-    best = beyond.groupBy("__pattern").agg(F.min(F.struct(miss.alias("miss"), F.col("__h").alias("h"), F.col("gap"))).alias("b")).collect()
-    for r in best:
-        if r.b.miss < r.b.gap:
-            out[tuple(r[0])] = (out[tuple(r[0])][0], r.b.h)
-    return out
+    return done

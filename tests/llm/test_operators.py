@@ -374,3 +374,16 @@ def test_toxicity_does_not_depend_on_the_cap(spark, monkeypatch):
     assert np.mean(list(whole.values())) == pytest.approx(0.1, abs=0.02)
     assert np.mean(list(part.values())) == pytest.approx(0.1, abs=0.04)
     assert np.mean([(whole[i] > 0.5) != (part[i] > 0.5) for i in whole]) < 0.05
+
+
+def test_mix_fills_the_gap_behind_a_long_text(spark):
+    """A text with half a source's words does not end the partial epoch: no document left over fits."""
+    rows = [(i, " ".join(["w"] * (20000 if i % 400 == 0 else 20 + i % 37)), "a" if i < 800 else "b") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for seed in (1, 7):
+        out = mixing.taken(docs, F.array("source"), seed=seed).collect()
+        for s in ("a", "b"):
+            own = [r for r in out if r.pattern[0] == s]
+            target, whole = own[0].by_source[0].target, min(r.times for r in own)
+            smallest = min(r.size for r in own if r.times == whole)
+            assert abs(sum(r.taken for r in own) - target) <= smallest / 2 + 1
