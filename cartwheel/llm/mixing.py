@@ -22,9 +22,9 @@ over goes to the others by weight until none is above.
 
 Defined results: size of a null or blank text is 0 and takes 0 words; a null
 source is a source of its own, and a null among the sources of a row too;
-repeated rows are separate documents that share their hash, so they are taken
-together; ties of the hash are taken or left together as far as that comes
-nearer the target; extra columns pass through ``mix`` untouched; an empty table
+the seeded hash is of id and text, so rows of one id or without id are told apart;
+repeated rows are separate documents that share their hash, as many of them are
+taken as fit, by the number of the row in the stored table; extra columns pass through ``mix`` untouched; an empty table
 gives no rows. Same input and seed, same result.
 """
 
@@ -147,15 +147,16 @@ def _solve(patterns, sources, supply, quotas, epochs, costs) -> dict:
 
 
 def _keyed(docs: DataFrame, sources: Column, id_col: str, text_col: str, seed: int) -> list[Column]:
-    """The columns that decide: pattern, size, seeded hash."""
+    """The columns that decide: pattern, size, seeded hash, and a number that tells rows of one hash apart (store it before use)."""
     return [F.array_sort(F.array_distinct(sources.cast("array<string>"))).alias("__pattern"),
-            size_of(F.col(text_col)).alias("__size"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("__h")]
+            size_of(F.col(text_col)).alias("__size"), F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col).cast("string")).alias("__h"),
+            F.monotonically_increasing_id().alias("__salt")]
 
 
 def plan(keyed: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     """One row per pattern: whole epochs, ranges of the hash taken once more, and its sources' sizes and targets.
 
-    ``keyed`` has __pattern, __size, __h and is read several times.
+    ``keyed`` has __pattern, __size, __h, __salt and is read several times.
     """
     spark = keyed.sparkSession
     rows = keyed.groupBy("__pattern").agg(F.sum("__size").alias("size")).limit(MAX_PATTERNS + 1).collect()
@@ -173,17 +174,18 @@ def plan(keyed: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     out = {p: divmod(routed.get(p, 0), size) if size else (0, 0) for p, size in supply.items()}
     cut = _cutoffs(keyed, {p: rest for p, (_, rest) in out.items() if rest})
     return spark.createDataFrame(
-        [(list(p), int(whole), *cut.get(p, ([], None)), [(s, sizes[s], float(quota[s])) for s in p]) for p, (whole, _) in out.items()],
-        "__pattern array<string>, __whole long, __ranges array<struct<first:long,last:long,cap:long>>, __also long, by_source array<struct<source:string,source_size:long,target:double>>")
+        [(list(p), int(whole), *cut.get(p, ([], [], None)), [(s, sizes[s], float(quota[s])) for s in p]) for p, (whole, _) in out.items()],
+        "__pattern array<string>, __whole long, __ranges array<struct<first:long,last:long,cap:long>>, __split array<struct<h:long,salt:long>>, __also long, by_source array<struct<source:string,source_size:long,target:double>>")
 
 
 def _in_ranges() -> Column:
     h = F.col("__h")
-    return F.exists("__ranges", lambda r: (h >= r["first"]) & (h <= r["last"]) & (F.col("__size") <= r["cap"]))
+    beyond = F.exists("__split", lambda x: (h == x["h"]) & (F.col("__salt") > x["salt"]))
+    return ~beyond & F.exists("__ranges", lambda r: (h >= r["first"]) & (h <= r["last"]) & (F.col("__size") <= r["cap"]))
 
 
 def _times() -> Column:
-    return F.col("__whole") + F.when(_in_ranges() | (F.col("__h") == F.col("__also")), 1).otherwise(0)
+    return F.col("__whole") + F.when(_in_ranges() | (F.col("__salt") == F.col("__also")), 1).otherwise(0)
 
 
 def taken(docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str = "text", seed: int = 7,
@@ -204,11 +206,11 @@ def mix(docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str
     """``docs`` as the mix takes them: each row as often as it is taken, its columns unchanged.
 
     Texts are not shuffled: the plan (one row per pattern) is broadcast to them.
+    They are stored once with the row numbers, which must not change between reads.
     """
-    decide = _keyed(docs, sources, id_col, text_col, seed)
-    keyed = stored(docs.select(*decide), "mix-sizes")
     # the row travels as one struct, so no column of it can clash
-    got = docs.select(F.struct(*docs.columns).alias("__row"), *decide).join(F.broadcast(plan(keyed, weights, epochs)).drop("by_source"), "__pattern")
+    rows = stored(docs.select(F.struct(*docs.columns).alias("__row"), *_keyed(docs, sources, id_col, text_col, seed)), "mix-rows")
+    got = rows.join(F.broadcast(plan(rows.drop("__row"), weights, epochs)).drop("by_source"), "__pattern")
     got = got.withColumn("__times", F.when(F.col("__size") > 0, _times()).otherwise(0)).filter("__times > 0")
     return got.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times")))).select("__row.*")
 
@@ -228,7 +230,7 @@ def _quotas(supply: dict, sizes: dict, weights, epochs: int) -> dict:
 
 
 def _cutoffs(keyed: DataFrame, rest: dict) -> dict:
-    """pattern -> (ranges (first, last, largest size) of the hash taken, hash of one more document).
+    """pattern -> (ranges (first, last, largest size) of the hash taken, last row taken of hashes taken in part, one more row).
 
     The documents are taken in hash order, each that fits what is open then. A
     radix search takes those up to the first that does not fit; behind it only
@@ -241,16 +243,20 @@ def _cutoffs(keyed: DataFrame, rest: dict) -> dict:
         return {}
     spark = keyed.sparkSession
     ranges: dict = {p: [] for p in rest}
+    parts: dict = {}  # (pattern, hash) -> rows taken of the equal ones that share the hash
     state = {p: (LOW, HIGH, words) for p, words in rest.items()}  # first hash not decided, largest size, words open
     gap = dict(rest)
-    search = dict(state)
+    search, near = dict(state), {}
     while state:
         for p, (upto, left, tie) in _prefix(keyed, search).items():
             first, cap, _ = state[p]
             if upto >= first:
                 ranges[p].append((first, upto, cap))
             gap[p] = left
-            state[p] = (upto + 1 + tie, left, left)
+            state[p] = (upto + 1, left, left)
+            if tie:
+                near[p] = upto + 1
+        _take_groups(keyed, state, near, ranges, parts, gap)
         state = {p: x for p, x in state.items() if x[0] <= HIGH and x[2] > 0}
         if not state:
             break
@@ -264,28 +270,54 @@ def _cutoffs(keyed: DataFrame, rest: dict) -> dict:
                 search[p] = state[p]  # many documents fill the gap
             else:
                 near[p] = HIGH if n <= CANDIDATES else min(HIGH, first + (HIGH - first) * CANDIDATES // n)
-        for p, groups in _groups(keyed, state, near).items():
-            first, cap, left = state[p]
-            for h, size in groups:
-                if size > left:  # from here on only smaller ones
-                    if h > first:
-                        ranges[p].append((first, h - 1, cap))
-                    first, cap = h + 1, left
-                else:
-                    left -= size
-            if near[p] >= first:
-                ranges[p].append((first, near[p], cap))
-            state[p] = (near[p] + 1, left, left)
-            gap[p] = left
-        for p in near:
-            if p not in search and (state[p][0] > HIGH or not state[p][2]):
-                del state[p]
-    frame = spark.createDataFrame([(list(p), ranges[p], gap[p]) for p in rest],
-                                  "__pattern array<string>, __ranges array<struct<first:long,last:long,cap:long>>, gap long")
+        _take_groups(keyed, state, near, ranges, parts, gap)
+        near = {}
+    split = _split(keyed, parts)
+    frame = spark.createDataFrame([(list(p), ranges[p], split.get(p, []), gap[p]) for p in rest],
+                                  "__pattern array<string>, __ranges array<struct<first:long,last:long,cap:long>>, "
+                                  "__split array<struct<h:long,salt:long>>, gap long")
     beyond = keyed.join(F.broadcast(frame), "__pattern").filter((F.col("__size") > 0) & (F.col("gap") > 0) & ~_in_ranges())
-    best = beyond.groupBy("__pattern").agg(F.min(F.struct(F.abs(F.col("__size") - F.col("gap")).alias("miss"), F.col("__h").alias("h"))).alias("b")).collect()
-    also = {tuple(r[0]): r.b.h for r in best if r.b.miss < gap[tuple(r[0])]}
-    return {p: (ranges[p], also.get(p)) for p in rest}
+    best = beyond.groupBy("__pattern").agg(F.min(F.struct(F.abs(F.col("__size") - F.col("gap")).alias("miss"), F.col("__h").alias("h"),
+                                                               F.col("__salt").alias("salt"))).alias("b")).collect()
+    also = {tuple(r[0]): r.b.salt for r in best if r.b.miss < gap[tuple(r[0])]}
+    return {p: (ranges[p], split.get(p, []), also.get(p)) for p in rest}
+
+
+def _take_groups(keyed: DataFrame, state: dict, near: dict, ranges: dict, parts: dict, gap: dict) -> None:
+    """Take the open documents up to the hash in ``near`` one by one, each that fits; rows of one hash are equal."""
+    for p, groups in _groups(keyed, state, near).items():
+        first, cap, left = state[p]
+        for h, size, n in groups:
+            fit = min(n, left * n // size)
+            if fit < n:  # from here on only smaller ones
+                last = h if fit else h - 1
+                if last >= first:
+                    ranges[p].append((first, last, cap))
+                if fit:
+                    parts[p, h] = fit
+                left -= fit * (size // n)
+                first, cap = h + 1, left
+            else:
+                left -= size
+        if near[p] >= first:
+            ranges[p].append((first, near[p], cap))
+        state[p] = (near[p] + 1, left, left)
+        gap[p] = left
+
+
+def _split(keyed: DataFrame, parts: dict) -> dict:
+    """pattern -> (hash, last row number taken) of the hashes that are taken in part: the same search, over row numbers."""
+    if not parts:
+        return {}
+    frame = keyed.sparkSession.createDataFrame([(list(p), h) for p, h in parts], "__pattern array<string>, h long")
+    same = (F.col("__h") == F.col("h"))
+    rows = keyed.join(F.broadcast(frame), "__pattern").filter(same).select(
+        F.concat("__pattern", F.array(F.col("h").cast("string"))).alias("__pattern"), F.lit(1).cast("long").alias("__size"), F.col("__salt").alias("__h"))
+    found = _prefix(rows, {(*p, str(h)): (LOW, HIGH, n) for (p, h), n in parts.items()})
+    out: dict = {}
+    for key, (upto, _, _) in found.items():
+        out.setdefault(key[:-1], []).append((int(key[-1]), upto))
+    return out
 
 
 def _open(keyed: DataFrame, state: dict) -> DataFrame:
@@ -295,14 +327,14 @@ def _open(keyed: DataFrame, state: dict) -> DataFrame:
 
 
 def _groups(keyed: DataFrame, state: dict, near: dict) -> dict:
-    """pattern -> (hash, size of all its rows) up to the hash in ``near``, in order."""
+    """pattern -> (hash, size of all its rows, their number) up to the hash in ``near``, in order."""
     if not near:
         return {}
     last = keyed.sparkSession.createDataFrame([(list(p), h) for p, h in near.items()], "__pattern array<string>, last long")
     part = _open(keyed, {p: state[p] for p in near}).join(F.broadcast(last), "__pattern").filter(F.col("__h") <= F.col("last"))
     out: dict = {p: [] for p in near}
-    for r in part.groupBy("__pattern", "__h").agg(F.sum("__size").alias("size")).collect():
-        out[tuple(r[0])].append((r[1], r.size))
+    for r in part.groupBy("__pattern", "__h").agg(F.sum("__size").alias("size"), F.count(F.lit(1)).alias("n")).collect():
+        out[tuple(r[0])].append((r[1], r.size, r.n))
     return {p: sorted(g) for p, g in out.items()}
 
 

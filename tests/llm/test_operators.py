@@ -387,3 +387,19 @@ def test_mix_fills_the_gap_behind_a_long_text(spark):
             target, whole = own[0].by_source[0].target, min(r.times for r in own)
             smallest = min(r.size for r in own if r.times == whole)
             assert abs(sum(r.taken for r in own) - target) <= smallest / 2 + 1
+
+
+def test_mix_splits_rows_that_share_an_id(spark):
+    """A source of null ids and many equal rows still meets its target, in both forms, whatever the partitions."""
+    rows = [(None, f"{i} " + " ".join(["w"] * (20 + i % 37)), "a") for i in range(600)] + [(5, " ".join(["v"] * 30), "b")] * 700 + [(i, "x y z", "c") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.taken(docs, F.array("source")).collect()
+    taken, target, smallest = Counter(), {}, {}
+    for r in out:
+        s = r.pattern[0]
+        taken[s] += r.taken
+        target[s] = r.by_source[0].target
+        smallest[s] = min(r.size, smallest.get(s, r.size))
+    assert all(abs(taken[s] - target[s]) <= smallest[s] / 2 + 1 for s in target)
+    mixed = mixing.mix(docs.repartition(5), F.array("source")).groupBy("source").agg(F.sum(mixing.size_of(F.col("text"))).alias("n")).collect()
+    assert {r.source: r.n for r in mixed} == dict(taken)
