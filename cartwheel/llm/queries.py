@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import (embedding_dedup, exact_dedup, lm_score, minhash_dedup, mixing, quality,
-                           sentencepiece_codec, suffix_dedup, token_output, toxicity)
+                           sentencepiece_codec, suffix_dedup, token_output, toxicity, turn_repair)
 from cartwheel.llm.common import documents, fold, importable, scratch
 
 UP, LO = exact_dedup.UPPER, exact_dedup.LOWER
@@ -72,8 +72,15 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(sentencepiece_codec.decode(encoded))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    turns = turn_repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return turn_repair.digests(turn_repair.repair(turns, present=F.col("present")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_output, op2_suffix_dedup, op3_exact_dedup, op4_lm_score, op5_source_mix, op6_embedding_links, op7_minhash, op8_toxicity, op9_quality_rules, op10_sentencepiece)}
+    f.__name__: f for f in (op1_token_output, op2_suffix_dedup, op3_exact_dedup, op4_lm_score, op5_source_mix, op6_embedding_links, op7_minhash, op8_toxicity, op9_quality_rules, op10_sentencepiece,
+                               op13_turn_repair)}
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": f"""
