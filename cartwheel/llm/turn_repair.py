@@ -7,7 +7,8 @@ states (start, after system, after user, after assistant); one survivor per stat
 holds the cheapest edits so far. The survivors' edits form a backpointer tree
 whose nodes count their children: a node no survivor needs any more goes, and as
 soon as all survivors share an ancestor the edits up to it are emitted and
-forgotten. Only the unresolved edits and the texts that they concern are held.
+forgotten. A survivor dearer than another by more than any rest can win back is
+dropped, else one that deletes everything would hold all back for good. Only the unresolved edits and the texts that they concern are held.
 
 Ties go to the ASCII-least string of edit initials. Two tied survivors are
 compared on their complete unresolved edits: for each pair the two strings are
@@ -49,6 +50,9 @@ ENDS = (START, ASSISTANT)
 #: state -> what up to two inserts before a turn lead to; more only run in a circle
 INSERTS = tuple(((0, "", s), (INSERT, "I", USER if s != USER else ASSISTANT))
                 + (((2 * INSERT, "II", ASSISTANT),) if s in (START, SYSTEM) else ()) for s in range(4))
+#: [q][p]: what the rest may cost more after state q than after state p, whatever comes: inserts lead
+#: from q to p, a kept system turn is deleted instead, or the rest can be taken as it is
+BEHIND = ((0, 0, INSERT, 0), (2 * INSERT, 0, INSERT, 2 * INSERT), (INSERT + DELETE, INSERT, 0, INSERT), (DELETE, 0, INSERT, 0))
 OUT = "position long, edit string, turn long, role_before string, fault int, role string, text string"
 
 
@@ -125,6 +129,8 @@ class Repairer:
         if key not in self._CACHE:
             self._CACHE[key] = _options(*key)
         best = self._best(self._CACHE[key])
+        # a survivor that another one beats whatever comes must not hold the rest back
+        best = {p: b for p, b in best.items() if all(c + BEHIND[q][p] >= b[0] for q, (c, _, _) in best.items())}
         order = {}
         for a, (_, i, e) in best.items():
             for b, (_, j, f) in best.items():

@@ -127,4 +127,4 @@ def test_repair_gives_turns(spark):
     rows = [(1, 0, "assistant", "Hi.", 0, 0), (1, 1, "user", "Why?", 0, 0), (1, 2, "assistant", "So", 0, 0)]
     got = turn_repair.repair(spark.createDataFrame(rows, SCHEMA)).orderBy("position").collect()
     assert [(r.edit, r.role_before, r.role, r.text, r.fault) for r in got] == [
-        ("D", "assistant", None, None, 0), ("D", "user", None, None, 0), ("D", "assistant", None, None, 3)]
+        ("R", "assistant", "user", "Hi.", 0), ("R", "user", "assistant", "Why?", 0), ("D", "assistant", None, None, 3)]
