@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm import (embedding_dedup, exact_dedup, lm_score, minhash_dedup, mixing, packing, quality,
+from cartwheel.llm import (collocations, embedding_dedup, exact_dedup, lm_score, minhash_dedup, mixing, packing, quality,
                            sentencepiece_codec, suffix_dedup, token_output, toxicity, turn_repair)
 from cartwheel.llm.common import documents, fold, importable, scratch
 
@@ -72,6 +72,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(sentencepiece_codec.decode(encoded))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(documents(spark, sf_dir)))
 
@@ -84,7 +88,7 @@ def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_output, op2_suffix_dedup, op3_exact_dedup, op4_lm_score, op5_source_mix, op6_embedding_links, op7_minhash, op8_toxicity, op9_quality_rules, op10_sentencepiece,
-                               op12_packing, op13_turn_repair)}
+                               op11_collocations, op12_packing, op13_turn_repair)}
 
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": f"""
