@@ -153,6 +153,9 @@ def _keyed(docs: DataFrame, sources: Column, id_col: str, text_col: str, seed: i
             F.monotonically_increasing_id().alias("__salt")]
 
 
+_CHOICE = "__ranges array<struct<first:long,last:long,cap:long>>, __split array<struct<h:long,salt:long>>, __also long"
+
+
 def plan(keyed: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
     """One row per pattern: whole epochs, ranges of the hash taken once more, and its sources' sizes and targets.
 
@@ -173,19 +176,37 @@ def plan(keyed: DataFrame, weights=WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
         routed[p] = routed.get(p, 0) + words
     out = {p: divmod(routed.get(p, 0), size) if size else (0, 0) for p, size in supply.items()}
     cut = _cutoffs(keyed, {p: rest for p, (_, rest) in out.items() if rest})
+    back = _put_back(keyed, cut)
+    none = ([], [], None)
     return spark.createDataFrame(
-        [(list(p), int(whole), *cut.get(p, ([], [], None)), [(s, sizes[s], float(quota[s])) for s in p]) for p, (whole, _) in out.items()],
-        "__pattern array<string>, __whole long, __ranges array<struct<first:long,last:long,cap:long>>, __split array<struct<h:long,salt:long>>, __also long, by_source array<struct<source:string,source_size:long,target:double>>")
+        [(list(p), int(whole), *cut.get(p, none)[:3], *back.get(p, none)[:3], [(s, sizes[s], float(quota[s])) for s in p]) for p, (whole, _) in out.items()],
+        f"__pattern array<string>, __whole long, {_CHOICE}, {_CHOICE.replace('__', '__back_')}, by_source array<struct<source:string,source_size:long,target:double>>")
+
+
+
+def _put_back(keyed: DataFrame, cut: dict) -> dict:
+    """What goes back where one more row overshot the quota: chosen among the rows taken in hash order, as those were.
+
+    Without it a source whose last text is long misses its target by up to half that text.
+    """
+    over = {p: x[3] for p, x in cut.items() if x[3] > 0}
+    if not over:
+        return {}
+    frame = keyed.sparkSession.createDataFrame([(list(p), *cut[p][:3]) for p in over], f"__pattern array<string>, {_CHOICE}")
+    chosen = keyed.join(F.broadcast(frame), "__pattern").filter(_in_ranges() & (F.col("__salt") != F.col("__also"))).select(*keyed.columns)
+    return _cutoffs(chosen, over)
 
 
-def _in_ranges() -> Column:
+def _in_ranges(kind: str = "__") -> Column:
     h = F.col("__h")
-    beyond = F.exists("__split", lambda x: (h == x["h"]) & (F.col("__salt") > x["salt"]))
-    return ~beyond & F.exists("__ranges", lambda r: (h >= r["first"]) & (h <= r["last"]) & (F.col("__size") <= r["cap"]))
+    beyond = F.exists(f"{kind}split", lambda x: (h == x["h"]) & (F.col("__salt") > x["salt"]))
+    return ~beyond & F.exists(f"{kind}ranges", lambda r: (h >= r["first"]) & (h <= r["last"]) & (F.col("__size") <= r["cap"]))
 
 
 def _times() -> Column:
-    return F.col("__whole") + F.when(_in_ranges() | (F.col("__salt") == F.col("__also")), 1).otherwise(0)
+    salt = F.col("__salt")
+    back = _in_ranges("__back_") | F.coalesce(salt == F.col("__back_also"), F.lit(False))
+    return F.col("__whole") + F.when((_in_ranges() & ~back) | (salt == F.col("__also")), 1).otherwise(0)
 
 
 def taken(docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str = "text", seed: int = 7,
@@ -230,7 +251,8 @@ def _quotas(supply: dict, sizes: dict, weights, epochs: int) -> dict:
 
 
 def _cutoffs(keyed: DataFrame, rest: dict) -> dict:
-    """pattern -> (ranges (first, last, largest size) of the hash taken, last row taken of hashes taken in part, one more row).
+    """pattern -> (ranges (first, last, largest size) of the hash taken, last row taken of hashes taken in part, one more row,
+    words beyond the quota).
 
     The documents are taken in hash order, each that fits what is open then. A
     radix search takes those up to the first that does not fit; behind it only
@@ -278,9 +300,9 @@ def _cutoffs(keyed: DataFrame, rest: dict) -> dict:
                                   "__split array<struct<h:long,salt:long>>, gap long")
     beyond = keyed.join(F.broadcast(frame), "__pattern").filter((F.col("__size") > 0) & (F.col("gap") > 0) & ~_in_ranges())
     best = beyond.groupBy("__pattern").agg(F.min(F.struct(F.abs(F.col("__size") - F.col("gap")).alias("miss"), F.col("__h").alias("h"),
-                                                               F.col("__salt").alias("salt"))).alias("b")).collect()
-    also = {tuple(r[0]): r.b.salt for r in best if r.b.miss < gap[tuple(r[0])]}
-    return {p: (ranges[p], split.get(p, []), also.get(p)) for p in rest}
+                                                               F.col("__salt").alias("salt"), F.col("__size").alias("size"))).alias("b")).collect()
+    also = {tuple(r[0]): r.b for r in best if r.b.miss < gap[tuple(r[0])]}
+    return {p: (ranges[p], split.get(p, []), also[p].salt if p in also else None, also[p].size - gap[p] if p in also else 0) for p in rest}
 
 
 def _take_groups(keyed: DataFrame, state: dict, near: dict, ranges: dict, parts: dict, gap: dict) -> None:
