@@ -250,11 +250,12 @@ def links(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     info = cls.select("key", "rep", "m")
     near = both.join(info.select(F.col("key").alias("b"), "m"), "b").groupBy("a").agg(F.sum("m").alias("near"))
-    ends = pairs.join(info.select(F.col("key").alias("a"), F.col("rep").alias("ra")), "a") \
-        .join(info.select(F.col("key").alias("b"), F.col("rep").alias("rb")), "b")
-    comp = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-    known = info.join(near, info["key"] == near["a"], "left").join(comp, info["rep"] == comp["id"], "left").select(
-        "key", (F.col("m") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    # nodes are the vectors themselves: an id, or none, may stand for several
+    comp = components(pairs.select("a", "b")).select(F.col("id").alias("key"), F.col("component").alias("node"))
+    member = info.join(comp, "key", "left").select("key", "rep", "m", F.coalesce("node", "key").alias("node"))
+    lowest = member.groupBy("node").agg(F.min("rep").alias("component"))
+    known = member.join(lowest, "node").join(near, F.col("key") == F.col("a"), "left").select(
+        "key", (F.col("m") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"), "component")
     got = named.join(known, "key", "left")
     component = F.coalesce("component", "own")
     return got.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -60,7 +60,7 @@ def coded(docs: DataFrame, held_out: Column, id_col: str, text_col: str) -> Data
         from pyspark import TaskContext
         part, seq = TaskContext.get().partitionId(), 0
         one = xxhash.xxh3_64_intdigest
-        for b in slices(batches, "text", 16 << 20):
+        for b in slices(batches, "text", 8 << 20):
             offsets, codes, dictionary = words_of(b.column("text").cast(pa.string()))
             vocab = np.empty(len(dictionary) + 1, np.uint64)
             vocab[0] = END_HASH
@@ -228,13 +228,15 @@ def _shards(parts: DataFrame) -> list[list[int]]:
 
 
 def _load(parts: DataFrame, wanted: list[int], buckets: int) -> dict:
+    """The shard's parts side by side; they come one file at a time, straight into their place."""
     bits, base = np.zeros(buckets, np.uint64), np.zeros(buckets, np.int64)
-    data, at = [], 0
-    for r in parts.filter(F.col("bucket").isin(wanted)).collect():
+    mine = parts.filter(F.col("bucket").isin(wanted))
+    on, at = np.zeros(mine.agg(F.sum(F.octet_length("part"))).first()[0] or 0, np.uint8), 0
+    for r in mine.toLocalIterator():
         bits[r.bucket], base[r.bucket] = r.bits, at
-        data.append(r.part)
+        on[at:at + len(r.part)] = np.frombuffer(r.part, np.uint8)
         at += len(r.part)
-    return {"bits": bits, "base": base, "on": np.frombuffer(b"".join(data), np.uint8)}
+    return {"bits": bits, "base": base, "on": on}
 
 
 # --- scoring -------------------------------------------------------------------------

@@ -24,7 +24,9 @@ Defined results: null, empty and blank texts have the empty set, link with
 nothing and are their own component; texts with fewer words than a shingle have
 one shingle, the whole sequence; repeated rows share their set and component
 (one result row per row); a null id is compared like any other and counts as
-the smallest; extra columns are not read; an empty table gives no rows.
+the smallest; an id with several texts is as many documents: nodes are sets, and
+only their components are named by ids; extra columns are not read; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -117,7 +119,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, digest (128 bits of the set), bands array<long>."""
+    """doc_id, own, tk (these two tell texts of one id apart), n_shingles, digest (128 bits of the set), bands array<long>."""
 
     def run(batches):
         import xxhash
@@ -125,20 +127,20 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
             sets = shingle_sets(b.column("text"), shingle)
             digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             bands = _lists([band_keys(s) if len(s) else np.zeros(0, np.int64) for s in sets])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array(digest, pa.binary()), bands], ["doc_id", "n_shingles", "digest", "bands"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "own", "tk")), pa.array([len(s) for s in sets], pa.int64()),
+                                              pa.array(digest, pa.binary()), bands], ["doc_id", "own", "tk", "n_shingles", "digest", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, own long, tk long, n_shingles long, digest binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, items array<long>: the whole set."""
+    """rep, items array<long>: the whole set."""
 
     def run(batches):
         for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists(shingle_sets(b.column("text"), shingle))], ["doc_id", "items"])
+            yield pa.RecordBatch.from_arrays([b.column("rep"), _lists(shingle_sets(b.column("text"), shingle))], ["rep", "items"])
 
-    return docs.mapInArrow(run, "doc_id long, items array<long>")
+    return docs.mapInArrow(run, "rep long, items array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -177,23 +179,37 @@ def _merged(comp: DataFrame, new: DataFrame) -> DataFrame:
     return comp.join(step, comp["component"] == step["id"], "left").select("rep", "n", F.coalesce("to", "component").alias("component"))
 
 
+NULL_ID = -(1 << 63)
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return src.select("doc_id", F.coalesce("doc_id", F.lit(NULL_ID).cast("long")).alias("own"), F.xxhash64("text").alias("tk"), "text")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    drawn = stored(sketches(src, shingle), "sketches")
-    null_id = F.lit(-(1 << 63)).cast("long")
-    named = drawn.withColumn("own", F.coalesce("doc_id", null_id))
-    # classes of equal sets; equal sets have equal bands
-    cls = stored(named.filter("n_shingles > 0").groupBy("digest").agg(F.min("own").alias("rep")), "classes")
-    reps = named.join(cls, [named["digest"] == cls["digest"], named["own"] == cls["rep"]]).select("rep", "bands").dropDuplicates(["rep"])
+    got = _grouped(_source(docs, id_col, text_col), shingle, percent)
+    return got.select("doc_id", "n_shingles", F.when(F.col("low") != NULL_ID, F.col("low")).alias("component_id"),
+                      (F.col("low") == F.col("own")).alias("kept"))
+
+
+def _grouped(src: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """doc_id, own, tk, n_shingles, low (smallest id of the component), stays (one set and id of each component)."""
+    named = stored(sketches(src, shingle), "sketches")
+    # classes of equal sets, numbered once: the numbers are the nodes, whatever ids the texts share
+    cls = stored(named.filter("n_shingles > 0").groupBy("digest").agg(F.min(F.struct("own", "tk")).alias("first"))
+                 .select("digest", "first", F.monotonically_increasing_id().alias("rep")), "classes")
+    first = cls.select("rep", F.col("first.own").alias("own"), F.col("first.tk").alias("tk"), "digest")
+    reps = named.join(first, ["digest", "own", "tk"]).select("rep", "bands").dropDuplicates(["rep"])
     rows = stored(reps.select("rep", F.explode("bands").alias("key")), "bands")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     rows = stored(rows.join(shared, "key"), "buckets")
-    wanted = stored(rows.select("rep").distinct(), "wanted")  # its written size lets Spark broadcast it only while small
-    texts = src.withColumn("own", F.coalesce("doc_id", null_id))
-    chosen = texts.join(wanted, texts["own"] == wanted["rep"], "left_semi").select(F.col("own").alias("doc_id"), "text")
-    sets = stored(full_sets(chosen, shingle).select(F.col("doc_id").alias("rep"), "items").dropDuplicates(["rep"]), "sets")
+    wanted = rows.select("rep").distinct().join(first.drop("digest"), "rep")
+    wanted = stored(wanted, "wanted")  # its written size lets Spark broadcast it only while small
+    chosen = src.join(wanted, ["own", "tk"]).select("rep", "text")
+    sets = stored(full_sets(chosen, shingle).dropDuplicates(["rep"]), "sets")
 
     comp = stored(sets.select("rep", F.size("items").alias("n"), F.col("rep").alias("component")), "components")
     done = tested = None
@@ -223,19 +239,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not new.isEmpty():
             comp = stored(_merged(comp, new), "components")
         r += 1
-    cls = cls.join(comp, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    got = named.select("doc_id", "own", "n_shingles", "digest").join(cls, "digest", "left")
-    component = F.coalesce("component", "own")
-    return got.select("doc_id", "n_shingles", F.when(component != null_id, component).alias("component_id"),
-                      (component == F.col("own")).alias("kept"))
+    member = cls.join(comp.select("rep", "component"), "rep", "left").select("digest", "first", F.coalesce("component", "rep").alias("component"))
+    lowest = member.groupBy("component").agg(F.min(F.struct(F.col("first.own").alias("own"), F.col("digest").alias("digest"))).alias("top"))
+    member = member.join(lowest, "component").select("digest", "top")
+    return named.join(member, "digest", "left").select(
+        "doc_id", "own", "tk", "n_shingles", F.coalesce("top.own", "own").alias("low"),
+        (F.col("top").isNull() | ((F.col("top.own") == F.col("own")) & (F.col("top.digest") == F.col("digest")))).alias("stays"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group, all columns kept.
 
-    Rows that share a kept id stay together (ids are unique after exact dedup).
+    Repeated rows of the document that stays stay with it (there are none after exact dedup).
     """
-    gone = near_duplicates(docs, id_col, text_col, shingle, percent).filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    d = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"))  # as a struct no column can clash
-    return d.join(gone, F.col("id").eqNullSafe(F.col("gone")), "left_anti").select("row.*")
+    gone = _grouped(_source(docs, id_col, text_col), shingle, percent).filter("not stays").select("own", "tk").distinct()
+    id_, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    d = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(id_, F.lit(NULL_ID).cast("long")).alias("own"), F.xxhash64(text).alias("tk"))
+    return d.join(gone, ["own", "tk"], "left_anti").select("row.*")  # as a struct no column can clash

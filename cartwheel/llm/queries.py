@@ -68,8 +68,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = sentencepiece_codec.encode(documents(spark, sf_dir))
-    return sentencepiece_codec.digests(sentencepiece_codec.decode(encoded))
+    return sentencepiece_codec.digests(sentencepiece_codec.recode(documents(spark, sf_dir)))
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

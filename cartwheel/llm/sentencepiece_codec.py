@@ -125,6 +125,26 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", mod
     return src.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
 
 
+def recode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
+    """doc_id, ids, text: ``decode(encode(docs))`` in one step, so that a task holds one worker with one model."""
+
+    def run(batches):
+        sp = _processor(model)
+        table = table_for(("sentencepiece", _path(model)), lambda: _chunk_encoder(model))
+        for b in slices(batches, "text", 2 << 20):
+            flat, offs = join_by_position(_chunk_lists(b.column("text")), table, sp.eos_id())
+            for lo in range(0, b.num_rows, 500):
+                hi = min(b.num_rows, lo + 500)
+                at = offs[lo:hi + 1]
+                ids = pa.ListArray.from_arrays(pa.array(at - at[0], pa.int32()), pa.array(flat[at[0]:at[-1]]))
+                texts = sp.decode(ids.to_pylist(), num_threads=1)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(lo, hi - lo), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return src.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """The contract's columns from encoded and decoded documents."""
     return decoded.select(

@@ -403,3 +403,30 @@ def test_mix_splits_rows_that_share_an_id(spark):
     assert all(abs(taken[s] - target[s]) <= smallest[s] / 2 + 1 for s in target)
     mixed = mixing.mix(docs.repartition(5), F.array("source")).groupBy("source").agg(F.sum(mixing.size_of(F.col("text"))).alias("n")).collect()
     assert {r.source: r.n for r in mixed} == dict(taken)
+
+
+def test_minhash_texts_that_share_an_id(spark):
+    """Nodes are sets: an id with two texts, or no id, neither joins groups nor hides one."""
+    rng = random.Random(8)
+    words = lambda: [f"w{rng.randint(0, 10**6)}" for _ in range(80)]
+    near = lambda w: " ".join([*w[:-1], "changed"])
+    a, b, c, d = words(), words(), words(), words()
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (None, " ".join(c)), (None, near(c)), (9, " ".join(d)), (8, near(d))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got_ = {(r.doc_id, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs).collect()}
+    assert got_ == {(1, 1, True), (2, 1, False), (3, 1, False), (None, None, True), (8, 8, True), (9, 8, False)}
+    kept = sorted((tuple(r) for r in minhash_dedup.deduplicate(docs).collect()), key=repr)
+    assert len(kept) == 4 and {" ".join(a), " ".join(b), near(d)} < {t for _, t in kept}
+
+
+def test_embeddings_without_ids_do_not_join_groups(spark):
+    """Two unrelated vectors without id stay apart, with exact links of every vector."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(4, 64))
+    rows = [(None, base[0]), (None, base[1]), (5, base[0] + 0.02 * rng.normal(size=64)), (7, base[1] + 0.02 * rng.normal(size=64)),
+            (11, base[2]), (12, base[2] * 3), (13, base[2] + 0.02 * rng.normal(size=64)), (14, base[3])]
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    importable(spark)
+    got_ = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.links(table).collect()), key=repr)
+    assert got_ == sorted([(None, 1, None, True), (None, 1, None, True), (5, 1, None, False), (7, 1, None, False),
+                           (11, 2, 11, True), (12, 2, 11, False), (13, 2, 11, False), (14, 0, 14, True)], key=repr)
