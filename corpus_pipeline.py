@@ -42,7 +42,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token digests of what is left, one row per row."""
     importable(spark)
-    return sentencepiece_codec.digests(sentencepiece_codec.decode(sentencepiece_codec.encode(docs)))
+    return sentencepiece_codec.digests(sentencepiece_codec.recode(docs))
 
 
 STAGES = [("quality", quality_filter), ("exact_dedup", exact_duplicates), ("minhash_dedup", near_duplicates),
