@@ -6,8 +6,10 @@ A history table holds the tracked columns plus four tool columns:
 next history in one pass: open rows are full-outer-joined to the state on the
 key, and each joined row emits its kept/closed old version and, when needed,
 a new version (``explode`` of a 0–2 element array). Closed rows pass through
-untouched. No MERGE is needed, so plain Parquet works: the caller writes the
-result to a new location (or checkpoints it) before replacing the old one.
+untouched. No MERGE is needed, so plain Parquet works. ``snapshot_run`` keeps a
+stored history: open versions are one partition, which each run replaces; the
+versions that a run closes are a partition of their own, never written again. Both
+go in by one swap, so a run that dies before it leaves the history as it was.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from cartwheel.operators.rollups import keys_with_versions
+from cartwheel.operators.writers import commit, finish_swaps, partition_names, read_table, stage
 
 TOOL_COLUMNS = ("_scd_id", "_updated_at", "_valid_from", "_valid_to")
 
@@ -72,6 +75,8 @@ def scd2_apply(history: DataFrame | None, state: DataFrame, key: str, ts,
         history = empty_history(state)
     open_h = history.where(F.col("_valid_to").isNull())
     closed_h = history.where(F.col("_valid_to").isNotNull())
+    # a row without key would fit no version and vanish: it stops the run instead
+    state = state.withColumn(key, F.coalesce(F.col(key), F.raise_error(F.lit(f"snapshot row without {key}")).cast(state.schema[key].dataType)))
 
     h, s = open_h.alias("h"), state.alias("s")
     joined = h.join(s, F.col(f"h.{key}") == F.col(f"s.{key}"), "full_outer")
@@ -105,6 +110,35 @@ def scd2_apply(history: DataFrame | None, state: DataFrame, key: str, ts,
     return closed_h.unionByName(moved)
 
 
+STATE = "_state"
+OPEN = "open"
+
+
+def snapshot_run(spark, path: str, state: DataFrame, key: str, ts, **how) -> DataFrame:
+    """One snapshot run on the stored history at ``path``; returns the history after it.
+
+    Only the open versions are read and written; what this run closes goes to
+    ``closed-<ts>``. A rerun with the same state and ts changes nothing, whether the
+    first one ended, died before the swap or died inside it.
+    """
+    finish_swaps(spark, path)
+    old = None
+    if OPEN in partition_names(spark, path, STATE):
+        old = read_table(spark, path, empty_history(state).withColumn(STATE, F.lit("")).schema) \
+            .where(F.col(STATE) == OPEN).drop(STATE)
+    stamp = "".join(c if c.isalnum() else "-" for c in str(ts))
+    moved = scd2_apply(old, state, key, ts, **how) \
+        .withColumn(STATE, F.when(F.col("_valid_to").isNull(), OPEN).otherwise(f"closed-{stamp}"))
+    commit(spark, path, stage(moved, path, STATE, (key,)), [f"{STATE}={OPEN}"])
+    return read_history(spark, path)
+
+
+def read_history(spark, path: str) -> DataFrame:
+    """All versions of a stored history."""
+    finish_swaps(spark, path)
+    return read_table(spark, path).drop(STATE)
+
+
 def dim_products_history(history: DataFrame) -> DataFrame:
     """H3: business names, exact money, validity interval and is_current."""
     return history.select(

@@ -2,26 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+DAY_SECONDS = 86_400
+
 
 def asof_join(facts: DataFrame, history: DataFrame, key: str, ts: str,
               valid_from: str = "valid_from", valid_to: str = "valid_to",
-              how: str = "left") -> DataFrame:
+              how: str = "left", slice_seconds: int = DAY_SECONDS) -> DataFrame:
     """Attach the history version valid at each fact's time (half-open interval).
 
     Condition: same key AND valid_from <= ts AND (valid_to IS NULL OR ts < valid_to).
-    The key equality keeps this an equi-join (hash / sort-merge) with a range
-    residual — never a nested-loop join. Intervals per key are disjoint, so a
-    fact matches at most one version and is never multiplied.
+    Intervals per key are disjoint, so a fact matches at most one version and is
+    never multiplied.
+
+    Time is cut into slices. A (key, slice) that holds facts or new versions gets one
+    row: the versions that begin in it, and the last one that began before, which is
+    carried over from the slices before it. Facts join that row on (key, slice) and
+    pick their version from it, so facts never meet all versions of their key, a
+    frequent key is spread over its slices, and the history is read once.
     """
-    h = history.alias("_h")
-    f = facts.alias("_f")
-    cond: Column = (
-        (F.col(f"_f.{key}") == F.col(f"_h.{key}"))
-        & (F.col(f"_f.{ts}") >= F.col(f"_h.{valid_from}"))
-        & (F.col(f"_h.{valid_to}").isNull() | (F.col(f"_f.{ts}") < F.col(f"_h.{valid_to}")))
-    )
-    hist_cols = [c for c in history.columns if c != key and c not in facts.columns]
-    return f.join(h, cond, how).select("_f.*", *[F.col(f"_h.{c}") for c in hist_cols])
+    f, h = facts, history
+    slice_of = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / (slice_seconds * 1_000_000))
+    hist_cols = [c for c in h.columns if c != key and c not in f.columns]
+    version = F.struct(F.col(valid_from).alias("_from"), F.col(valid_to).alias("_to"),
+                       F.struct(*[F.col(c) for c in hist_cols]).alias("_row"))
+    begun = (h.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull())
+             .groupBy(F.col(key).alias("_key"), slice_of(valid_from).alias("_slice"))
+             .agg(F.collect_list(version).alias("_begun")))
+    asked = (f.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+             .select(F.col(key).alias("_key"), slice_of(ts).alias("_slice")).distinct())
+    by_slice = (begun.unionByName(asked, allowMissingColumns=True).groupBy("_key", "_slice")
+                .agg(F.flatten(F.collect_list("_begun")).alias("_begun")))  # one list a slice: nulls are left out
+    latest = lambda versions: F.reduce(versions, F.get(versions, 0), lambda a, x: F.when(x["_from"] >= a["_from"], x).otherwise(a))
+    before = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    known = (by_slice.withColumn("_carried", F.last(F.when(F.size("_begun") > 0, latest(F.col("_begun"))), ignorenulls=True).over(before))
+             .select("_key", "_slice", F.filter(F.concat("_begun", F.array("_carried")), lambda x: x.isNotNull()).alias("_known")))
+    joined = f.alias("_f").join(known, (F.col(f"_f.{key}") == F.col("_key")) & (slice_of(f"_f.{ts}") == F.col("_slice")), how)
+    found = latest(F.filter("_known", lambda x: x["_from"] <= F.col(f"_f.{ts}")))
+    out = joined.withColumn("_found", found)
+    valid = F.col("_found._to").isNull() | (F.col(f"_f.{ts}") < F.col("_found._to"))
+    if how == "inner":
+        out = out.where(F.col("_found").isNotNull() & valid)
+    return out.select("_f.*", *[F.when(valid, F.col(f"_found._row.{c}")).alias(c) for c in hist_cols])

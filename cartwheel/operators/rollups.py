@@ -2,8 +2,10 @@
 
 Every aggregate here is decomposable (count, sum, min, max, min_by, count_if)
 or a distinct count, so Spark runs a partial aggregate before the shuffle and
-a hot key is pre-reduced map-side; distinct counts are planned as an Expand
-with the distinct column in the shuffle key, which also spreads a hot group.
+a hot key is pre-reduced map-side. A single distinct count puts its column into
+the first shuffle's key. Where two are asked for, rows are grouped with the one
+value first and then counted, so that no row is copied (Spark's own plan is an
+Expand that copies each input row once per distinct count).
 """
 
 from __future__ import annotations
@@ -45,35 +47,60 @@ def order_item_rollup(enriched: DataFrame) -> DataFrame:
 
 
 def session_rollup(sessionized: DataFrame) -> DataFrame:
-    """A2/A3: per session — bounds, counts, entry touch (first by time, key), funnel flags."""
-    entry = first_by(F.struct("traffic_source", "uri", "browser"), "event_at", "event_key")
-    return (sessionized.groupBy("session_id", "user_id")
-            .agg(F.min("event_at").alias("session_started_at"),
-                 F.max("event_at").alias("session_ended_at"),
-                 F.count(F.lit(1)).alias("event_count"),
-                 F.countDistinct("event_type").alias("distinct_event_type_count"),
-                 entry.alias("_entry"),
-                 (F.count_if(F.col("event_type") == "product") > 0).alias("viewed_product"),
-                 (F.count_if(F.col("event_type") == "cart") > 0).alias("added_to_cart"),
-                 (F.count_if(F.col("event_type") == "purchase") > 0).alias("purchased"),
-                 (F.count_if(F.col("event_type") == "cancel") > 0).alias("cancelled"),
-                 F.countDistinct("source_session_id").alias("source_session_id_count"))
+    """A2/A3: per session — bounds, counts, entry touch (first by time, key), funnel flags.
+
+    Rows are first grouped with the source session id, which makes its distinct
+    count a plain one; event types are few and travel as sets.
+    """
+    entry = F.struct("event_at", "event_key", F.struct("traffic_source", "uri", "browser").alias("touch"))
+    seen = lambda kind: F.max(F.coalesce(F.col("event_type") == kind, F.lit(False)))
+    by_source = (sessionized.groupBy("session_id", "user_id", "source_session_id")
+                 .agg(F.min("event_at").alias("first_at"), F.max("event_at").alias("last_at"), F.count(F.lit(1)).alias("events"),
+                      F.sort_array(F.collect_set("event_type")).alias("types"),
+                      F.min_by(entry, F.struct("event_at", "event_key")).alias("entry"),
+                      *[seen(kind).alias(kind) for kind in ("product", "cart", "purchase", "cancel")]))
+    touch = F.min_by("entry", F.struct("entry.event_at", "entry.event_key"))["touch"]
+    return (by_source.groupBy("session_id", "user_id")
+            .agg(F.min("first_at").alias("session_started_at"),
+                 F.max("last_at").alias("session_ended_at"),
+                 F.sum("events").alias("event_count"),
+                 F.size(F.array_distinct(F.flatten(F.collect_set("types")))).cast("long").alias("distinct_event_type_count"),
+                 touch.alias("_entry"),
+                 F.max("product").alias("viewed_product"),
+                 F.max("cart").alias("added_to_cart"),
+                 F.max("purchase").alias("purchased"),
+                 F.max("cancel").alias("cancelled"),
+                 F.count("source_session_id").alias("source_session_id_count"))
             .withColumns({"entry_traffic_source": F.col("_entry.traffic_source"),
                           "entry_uri": F.col("_entry.uri"), "browser": F.col("_entry.browser")})
             .drop("_entry"))
 
 
 def daily_revenue_base(items: DataFrame, products: DataFrame) -> DataFrame:
-    """A4 (+J5, F6): date × department — orders, items, buyers, net sums, returns."""
-    return (items.join(products.select("product_id", "department_name"), "product_id", "inner")
-            .where(F.col("department_name").isNotNull())
-            .groupBy("ordered_date", "department_name")
-            .agg(F.countDistinct("order_key").alias("order_count"),
-                 F.count(F.lit(1)).alias("order_item_count"),
-                 F.countDistinct("user_id").alias("buyer_count"),
-                 money_sum("net_revenue").alias("net_revenue"),
-                 money_sum("net_gross_profit").alias("net_gross_profit"),
-                 F.count_if(F.col("order_item_status") == "returned").alias("returned_item_count")))
+    """A4 (+J5, F6): date × department — orders, items, buyers, net sums, returns.
+
+    Items are grouped by order first, which carries the order's buyers (one, as a
+    rule); its sums go with the first of them, so nothing counts twice.
+    """
+    grain = ["ordered_date", "department_name"]
+    by_order = (items.join(products.select("product_id", "department_name"), "product_id", "inner")
+                .where(F.col("department_name").isNotNull())
+                .groupBy(*grain, "order_key")
+                .agg(F.count(F.lit(1)).alias("items"), F.collect_set("user_id").alias("buyers"),
+                     F.sum("net_revenue").alias("revenue"), F.sum("net_gross_profit").alias("profit"),
+                     F.count_if(F.col("order_item_status") == "returned").alias("returned")))
+    first = F.coalesce(F.col("at"), F.lit(0)) == 0
+    by_buyer = (by_order.select(*grain, "order_key", "items", "revenue", "profit", "returned", F.posexplode_outer("buyers").alias("at", "user_id"))
+                .groupBy(*grain, "user_id")
+                .agg(F.count(F.when(first, F.col("order_key"))).alias("orders"),
+                     *[F.sum(F.when(first, F.col(c))).alias(c) for c in ("items", "revenue", "profit", "returned")]))
+    return (by_buyer.groupBy(*grain)
+            .agg(F.sum("orders").alias("order_count"),
+                 F.sum("items").alias("order_item_count"),
+                 F.count("user_id").alias("buyer_count"),
+                 money_sum("revenue").alias("net_revenue"),
+                 money_sum("profit").alias("net_gross_profit"),
+                 F.sum("returned").alias("returned_item_count")))
 
 
 def daily_funnel_base(sessions: DataFrame) -> DataFrame:

@@ -18,8 +18,9 @@ class Params:
     # Read buffer for sessionization: the day before the window decides whether
     # the window's first event starts a session. Must cover the timeout.
     session_buffer_days: int = 1
-    # Time bucket used to spread one user's events over many tasks.
-    session_bucket_seconds: int = 3600
+    # Time bucket used to spread one user's events over many tasks: a minute, so that
+    # a user with millions of events in an hour is spread over sixty of them.
+    session_bucket_seconds: int = 60
 
     def __post_init__(self):
         if isinstance(self.run_date, str):

@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators import checks as Q
 from cartwheel.operators.history import (PRODUCT_CHECK_COLS, PRODUCT_SNAPSHOT_COLS, dim_products_history,
-                                         scd2_apply)
-from cartwheel.operators.writers import (materialize, read_table, store_failures, table_exists,
-                                         write_incremental, write_table)
+                                         read_history, snapshot_run)
+from cartwheel.operators.writers import read_table, store_failures, table_exists, write_incremental, write_table
 from cartwheel.params import Params
 from cartwheel.plans import core, intermediate, reporting, staging
 from cartwheel.plans.contracts import CONTRACTS
@@ -87,12 +86,8 @@ class DailyRun:
 
     def snapshot(self) -> None:
         """Type-2 product history, read from the landed products (before staging)."""
-        path = f"{self.root}/snapshots/products"
-        state = self.raw("products").select(*PRODUCT_SNAPSHOT_COLS)
-        old = read_table(self.spark, path) if table_exists(self.spark, path) else None
-        new = scd2_apply(old, state, "id", self.now, check_cols=PRODUCT_CHECK_COLS)
-        # The result is computed from the path it replaces: cut the lineage first.
-        write_table(materialize(new), path)
+        snapshot_run(self.spark, f"{self.root}/snapshots/products", self.raw("products").select(*PRODUCT_SNAPSHOT_COLS),
+                     "id", self.now, check_cols=PRODUCT_CHECK_COLS)
 
     def _materialize(self, name: str, df: DataFrame) -> DataFrame:
         if name in CONTRACTS:
@@ -149,7 +144,7 @@ class DailyRun:
 
     def build_core(self) -> None:
         f = self.frames
-        hist = read_table(self.spark, f"{self.root}/snapshots/products")
+        hist = read_history(self.spark, f"{self.root}/snapshots/products")
         built = {
             "dim_distribution_centers": core.dim_distribution_centers(f["stg_distribution_centers"]),
             "dim_products": core.dim_products(f["stg_products"], f["stg_distribution_centers"]),

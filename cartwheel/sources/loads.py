@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions.exprs import in_window
-from cartwheel.operators.writers import (empty_partition, ensure_table, partition_values, read_table,
-                                         table_exists, with_partition_date, write_partitions, write_table)
+from cartwheel.operators.writers import (ensure_table, read_table, table_exists, with_partition_date,
+                                         write_partitions, write_table)
 from cartwheel.params import Params
 from cartwheel.sources.registry import (DAY_COLUMN, FULL_REPLACE, LANDINGS, MERGE_INSERT_ONLY,
                                         PARTITION_OVERWRITE, Landing)
@@ -40,21 +40,19 @@ def insert_only_delta(src: DataFrame, target: DataFrame, key: str) -> DataFrame:
 def load_window_overwrite(spark: SparkSession, src: DataFrame, path: str, event_time: str,
                           start, end, cluster_by: tuple[str, ...] = (),
                           part: str = DAY_COLUMN) -> dict:
-    """Replace the window [start, end] (inclusive) of a day-partitioned table."""
+    """Replace the window [start, end] (inclusive) of a day-partitioned table.
+
+    The source is read once, into the staged days; window days that got no rows
+    are emptied by the same swap.
+    """
     new = with_partition_date(src, event_time, part).where(in_window(part, start, end))
     ensure_table(spark, new, path, part)
-    write_partitions(new, path, part, cluster_by)
-    # Window days the source no longer has must be emptied as well.
-    written = {str(d) for d in partition_values(new, part)}
-    existing = read_table(spark, path, new.schema).where(in_window(part, start, end))
-    stale = [d for d in (str(x) for x in partition_values(existing, part)) if d not in written]
-    for day in stale:
-        empty_partition(new, path, part, day)
-    return {"written_days": sorted(written), "emptied_days": stale}
+    written, emptied = write_partitions(new, path, part, cluster_by, lambda day: str(start) <= day <= str(end))
+    return {"written_days": written, "emptied_days": emptied}
 
 
 def load_full_replace(spark: SparkSession, src: DataFrame, path: str) -> dict:
-    """Static overwrite of the whole table."""
+    """The whole table replaced in one swap."""
     write_table(src, path)
     return {"replaced": True}
 
