@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.exprs import guarded_rate
 from cartwheel.operators.history import latest_per_key
 from cartwheel.operators.rollups import money_sum
-from cartwheel.operators.writers import write_partitions
+from cartwheel.operators.writers import write_partitions, write_table
 
 SEED_DIR = os.path.join(os.path.dirname(os.path.dirname(__file__)), "seeds")
 
@@ -64,16 +64,39 @@ def read_landing(spark: SparkSession, root: str, ingest_dates: list, col: str =
     return spark.read.parquet(root).where(F.col(col).isin([str(d) for d in ingest_dates]))
 
 
+def write_landing(df: DataFrame, root: str, day: Column, col: str = "ingest_date") -> None:
+    """Land rows in one folder per day."""
+    write_table(df.withColumn(col, day), root, col)
+
+
+def scan_landing_days(spark: SparkSession, root: str, days: DataFrame, col: str = "ingest_date") -> DataFrame:
+    """The landed rows of the days in ``days`` (a column ``col``), which a query finds at run time.
+
+    The days join on the partition column; where Spark broadcasts them, by their
+    size, it prunes the scan with them (dynamic partition pruning) and opens no
+    other folder.
+    """
+    return spark.read.parquet(root).join(days.select(col).distinct(), col, "left_semi")
+
+
 # ---------------------------------------------------------------- X7 pivot
-def pivot_sum(df: DataFrame, keys: list[str], pivot: str, value: str, values: list,
-              null_column: str = "unassigned") -> DataFrame:
-    """Sum ``value`` per keys with one column per listed pivot value, and one for NULL.
+def pivot_names(dimension: DataFrame, col: str, limit: int = 1000) -> list[str]:
+    """The values of ``col``, found in the dimension, ascending; more than ``limit`` make no table to read."""
+    names = sorted(r[0] for r in dimension.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect())
+    if len(names) > limit:
+        raise ValueError(f"{col} has more than {limit} values")
+    return names
 
-    The caller names the values (a pivot's width is part of its contract), so
-    the input is read once.
+
+def pivot_sum(df: DataFrame, keys: list[str], pivot: str, value: str, values: list,
+              null_column: str = "unassigned", other_column: str = "other") -> DataFrame:
+    """Sum ``value`` per keys with one column per pivot value, one for NULL and one for any other value,
+    so that the columns always sum to the whole. The input is read once.
     """
     cell = lambda match, name: money_sum(F.when(match, F.col(value))).alias(name)
-    return df.groupBy(*keys).agg(*[cell(F.col(pivot) == v, str(v)) for v in values], cell(F.col(pivot).isNull(), null_column))
+    at = F.col(pivot)
+    return df.groupBy(*keys).agg(*[cell(at == v, str(v)) for v in values], cell(at.isNull(), null_column),
+                                 cell(at.isNotNull() & ~at.isin(list(values)), other_column))
 
 
 # ---------------------------------------------------------------- X8 metrics
@@ -153,8 +176,26 @@ def read_partition_range(spark: SparkSession, path: str, col: str, start, end) -
     """A partitioned table can only be read with bounds on its partition column."""
     if start is None or end is None:
         raise ValueError(f"a filter on partition column {col!r} is required")
-    return spark.read.parquet(path).where(F.col(col).between(F.lit(str(start)).cast("date"),
-                                                            F.lit(str(end)).cast("date")))
+    return require_partition_filter(spark.read.parquet(path).where(F.col(col).between(
+        F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))), col)
+
+
+def require_partition_filter(df: DataFrame, col: str) -> DataFrame:
+    """``df``, if every scan of a table partitioned by ``col`` prunes by it; else ``ValueError``.
+
+    The plan is asked, not the caller: a filter that does not reach the scan does not
+    count, one that reaches it through a join (dynamic pruning) does. That the column
+    is not null prunes nothing.
+    """
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    scans = [x for x in (leaves.apply(i) for i in range(leaves.size())) if x.getClass().getSimpleName() == "FileSourceScanExec"]
+    for scan in scans:
+        if col in list(scan.relation().partitionSchema().fieldNames()):
+            seq = scan.partitionFilters()
+            filters = [seq.apply(i).toString() for i in range(seq.size())]
+            if not any(f"{col}#" in x and not x.startswith("isnotnull(") for x in filters):
+                raise ValueError(f"a filter on partition column {col!r} is required")
+    return df
 
 
 # ---------------------------------------------------------------- margin analysis consumer

@@ -56,9 +56,17 @@ def stage(df: DataFrame, path: str, partition_by: str | None = None, cluster_by:
     """Write ``df`` to a hidden folder of the table; nothing reads it before ``commit``."""
     staged = f"{path}/{SWAP}/{uuid.uuid4().hex}.data"
     w = _layout(df, partition_by, tuple(cluster_by)).write
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(staged)
+    if not partition_by:
+        w.parquet(staged)
+        return staged
+    # Files are one per day at least: joining small partitions would only put all days into few tasks.
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        w.partitionBy(partition_by).parquet(staged)
+    finally:
+        conf.set(name, before)
     return staged
 
 

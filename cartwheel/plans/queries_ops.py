@@ -5,6 +5,7 @@ its DuckDB oracle where SQL can express it."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,14 +18,15 @@ from cartwheel.operators import rollups as A
 from cartwheel.operators import windows as W
 from cartwheel.operators.joins import asof_join
 from cartwheel.operators.sessionize import sessionize
-from cartwheel.operators.writers import sync_columns
+from cartwheel.operators.writers import read_table, sync_columns, write_incremental
 from cartwheel.params import Params
 from cartwheel.plans import oracle as O
 from cartwheel.plans.declared_checks import DECLARED_CHECKS
 from cartwheel.plans.models import Models
 from cartwheel.plans.registry import register
 from cartwheel.sources.adapter import raw_source
-from cartwheel.sources.loads import insert_only_delta
+from cartwheel.session import checkpoint_dir
+from cartwheel.sources.loads import insert_only_delta, load_full_replace, load_window_overwrite
 
 # Fixed run parameters of the registered queries.
 ORDERS_RUN_DATE = dt.date(2001, 8, 2)          # day after the last order day
@@ -622,6 +624,105 @@ def daily_state_from_history(spark, sf):
         "snapshot_date", "product_id", "product_history_key", "retail_price")
 
 
+# Window of the incremental runs: days read and days written.
+_INC = Params(run_date=EVENTS_RUN_DATE)
+_INC_READ = tuple(str(d) for d in _INC.window(_INC.session_buffer_days))
+_INC_OUT = tuple(str(d) for d in _INC.window())
+
+
+# ====================================================================== written, then read back
+def _table(spark, name: str) -> str:
+    """A new table folder that the driver and all executors share."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("snapshot_run_products", O.model("dim_products_history"))
+def snapshot_run_products(spark, sf):
+    """Two snapshot runs on a stored history, the second one rerun, read back."""
+    path = _table(spark, "products-history")
+    p1 = product_state_1(spark, sf)
+    H.snapshot_run(spark, path, p1, "id", SNAPSHOT_TS1, check_cols=H.PRODUCT_CHECK_COLS)
+    for _ in range(2):
+        H.snapshot_run(spark, path, product_state_2(p1), "id", SNAPSHOT_TS2, check_cols=H.PRODUCT_CHECK_COLS)
+    return H.dim_products_history(H.read_history(spark, path))
+
+
+#: A reload of these days, in which the source has lost one of them.
+RELOAD = ("1997-03-01", "1997-03-31")
+LOST_DAY = "1997-03-15"
+
+
+@register("load_window_overwrite_orders", O.oracle(f"""
+SELECT order_id, user_id, status, created_at,
+       CASE WHEN cast(created_at AS date) BETWEEN DATE '{RELOAD[0]}' AND DATE '{RELOAD[1]}'
+            THEN num_of_item + 1 ELSE num_of_item END AS num_of_item, cast(created_at AS date) AS _partition_date
+FROM raw_orders WHERE created_at IS NOT NULL AND cast(created_at AS date) <> DATE '{LOST_DAY}'""", "raw_orders"))
+def load_window_overwrite_orders(spark, sf):
+    """All orders landed, then a month of them again with other item counts and without one day."""
+    path = _table(spark, "orders")
+    orders = raw_source(spark, sf, "orders").select("order_id", "user_id", "status", "created_at", "num_of_item")
+    load_window_overwrite(spark, orders, path, "created_at", "1900-01-01", "2100-01-01", ("user_id",))
+    again = orders.where(F.to_date("created_at") != F.lit(LOST_DAY).cast("date")).withColumn("num_of_item", F.col("num_of_item") + 1)
+    load_window_overwrite(spark, again, path, "created_at", *RELOAD, ("user_id",))
+    return spark.read.parquet(path)
+
+
+@register("load_full_replace_users", O.oracle(
+    "SELECT id, email, age, created_at FROM raw_users WHERE id % 3 <> 0", "raw_users"))
+def load_full_replace_users(spark, sf):
+    """All users landed, then replaced by two thirds of them."""
+    path = _table(spark, "users")
+    users = raw_source(spark, sf, "users").select("id", "email", "age", "created_at")
+    load_full_replace(spark, users, path)
+    load_full_replace(spark, users.where(F.col("id") % 3 != 0), path)
+    return read_table(spark, path)
+
+
+@register("write_incremental_events", O.oracle(f"""
+SELECT event_key, user_id, event_type, event_date,
+       CASE WHEN event_date BETWEEN DATE '{_INC_OUT[0]}' AND DATE '{_INC_OUT[1]}' THEN 2 ELSE 1 END AS version
+FROM stg_events""", "stg_events"))
+def write_incremental_events(spark, sf):
+    """A first run of all days, then an increment that replaces the days of its window."""
+    path = _table(spark, "events")
+    events = _m(spark, sf).stg_events.select("event_key", "user_id", "event_type", "event_date")
+    write_incremental(spark, events.withColumn("version", F.lit(1)), path, "event_date", ("user_id",))
+    window = events.where(F.col("event_date").between(*_INC_OUT))
+    write_incremental(spark, window.withColumn("version", F.lit(2)), path, "event_date", ("user_id",))
+    return spark.read.parquet(path)
+
+
+@register("sync_schema_events", O.oracle(f"""
+SELECT event_key, event_date,
+       CASE WHEN event_date BETWEEN DATE '{_INC_OUT[0]}' AND DATE '{_INC_OUT[1]}' THEN browser END AS browser
+FROM stg_events""", "stg_events"))
+def sync_schema_events(spark, sf):
+    """An increment that adds a column and drops another; older days keep what they share."""
+    path = _table(spark, "events")
+    events = _m(spark, sf).stg_events
+    write_incremental(spark, events.select("event_key", "user_id", "event_date"), path, "event_date")
+    window = events.where(F.col("event_date").between(*_INC_OUT)).select("event_key", "browser", "event_date")
+    write_incremental(spark, window, path, "event_date")
+    return spark.read.parquet(path)
+
+
+@register("landing_partition_scan", O.oracle("""
+SELECT event_key, user_id, event_type, event_date AS ingest_date FROM stg_events
+WHERE event_date IN (SELECT event_date FROM stg_events WHERE event_type = 'purchase' GROUP BY event_date
+                     HAVING count(*) >= (SELECT avg(n) FROM (SELECT count(*) AS n FROM stg_events
+                                                             WHERE event_type = 'purchase' GROUP BY event_date) d))""", "stg_events"))
+def landing_partition_scan(spark, sf):
+    """Landed events of the days with at least an average day's purchases, found at run time."""
+    root = _table(spark, "landing")
+    events = _m(spark, sf).stg_events.select("event_key", "user_id", "event_type", "event_date")
+    X.write_landing(events, root, F.col("event_date"))
+    by_day = (spark.read.parquet(root).where(F.col("event_type") == "purchase")
+              .groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n")))
+    average = by_day.agg(F.avg("n").alias("average"))
+    busy = by_day.join(F.broadcast(average), F.col("n") >= F.col("average"))  # one row on the right
+    return X.scan_landing_days(spark, root, busy).select("event_key", "user_id", "event_type", "ingest_date")
+
+
 # ====================================================================== sessionization variants
 for _t in (720,):
     O.cte(f"int_events_sessionized_{_t}", O.sessionized_sql(_t), "stg_events")
@@ -634,9 +735,6 @@ def fct_sessions_timeout_720(spark, sf):
     return _m(spark, sf, params=Params(session_timeout_minutes=720)).fct_sessions
 
 
-_INC = Params(run_date=EVENTS_RUN_DATE)
-_INC_READ = tuple(str(d) for d in _INC.window(_INC.session_buffer_days))
-_INC_OUT = tuple(str(d) for d in _INC.window())
 O.cte("int_events_sessionized_incremental", O.sessionized_sql(30, _INC_READ, _INC_OUT), "stg_events")
 
 
@@ -695,18 +793,22 @@ def incremental_overlap(spark, sf):
 
 
 _DEPTS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+_DEPT_LIST = ", ".join(f"'{d}'" for d in _DEPTS)
 
 
 @register("revenue_pivot_department", O.oracle(
     "SELECT cast(date_trunc('month', ordered_date) AS date) AS ordered_month, "
     + ", ".join(f"cast(sum(CASE WHEN department_name = '{d}' THEN net_revenue END) AS decimal(38,9)) AS {d}"
                 for d in _DEPTS)
-    + ", cast(sum(CASE WHEN department_name IS NULL THEN net_revenue END) AS decimal(38,9)) AS unassigned FROM daily_revenue GROUP BY 1", "daily_revenue"))
+    + ", cast(sum(CASE WHEN department_name IS NULL THEN net_revenue END) AS decimal(38,9)) AS unassigned"
+    + f", cast(sum(CASE WHEN department_name NOT IN ({_DEPT_LIST}) THEN net_revenue END) AS decimal(38,9)) AS other"
+    + " FROM daily_revenue GROUP BY 1", "daily_revenue"))
 def revenue_pivot_department(spark, sf):
+    """One column per department that the product dimension holds."""
     m = _m(spark, sf)
     daily = A.daily_revenue_base(m.fct_order_items, m.dim_products)
     return X.pivot_sum(daily.withColumn("ordered_month", F.trunc("ordered_date", "month")),
-                       ["ordered_month"], "department_name", "net_revenue", list(_DEPTS))
+                       ["ordered_month"], "department_name", "net_revenue", X.pivot_names(m.dim_products, "department_name"))
 
 
 @register("metric_total_revenue", O.oracle("""

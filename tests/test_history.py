@@ -95,3 +95,27 @@ def test_expand_history(spark):
     got = rows(expand_history(h, "2026-01-01", "2026-01-04"), "snapshot_date", "valid_from")
     assert [(str(a), b.day) for a, b in got] == [
         ("2026-01-01", 1), ("2026-01-02", 1), ("2026-01-03", 3), ("2026-01-04", 3)]
+
+
+def test_asof_join_many_versions_and_a_hot_key(spark):
+    """A product with 10,000 versions, several a day, and most facts: equal to the plain range join, each fact once."""
+    t0 = 1_700_000_000
+    hist = (spark.range(10_000).select(F.lit(1).cast("long").alias("product_id"), F.col("id").alias("version"),
+                                       F.timestamp_seconds(F.lit(t0) + F.col("id") * 20_000).alias("valid_from"),
+                                       F.when(F.col("id") < 9_999, F.timestamp_seconds(F.lit(t0) + (F.col("id") + 1) * 20_000)).alias("valid_to"))
+            # a product with a gap between its versions, one whose first version is late, one without any
+            .unionByName(spark.createDataFrame([(2, 1, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)), (2, 2, dt.datetime(2024, 3, 1), None),
+                                                (3, 1, dt.datetime(2030, 1, 1), None)],
+                                               "product_id long, version long, valid_from timestamp, valid_to timestamp")))
+    facts = spark.range(0, 20_000, 1, 4).select(
+        F.col("id").alias("f"), F.when(F.col("id") % 50 == 0, F.lit(None)).when(F.col("id") % 10 < 7, 1).otherwise(2 + F.col("id") % 3).cast("long").alias("product_id"),
+        F.when(F.col("id") % 97 != 0, F.timestamp_seconds(F.lit(t0 - 50_000) + F.pmod(F.col("id") * 7919, F.lit(20_000)) * 10_001)).alias("ts"))
+    got = asof_join(facts, hist, "product_id", "ts")
+    plain = facts.alias("a").join(hist.alias("h"), (F.col("a.product_id") == F.col("h.product_id")) & (F.col("ts") >= F.col("valid_from"))
+                                  & (F.col("valid_to").isNull() | (F.col("ts") < F.col("valid_to"))), "left").select("f", "version", "valid_from", "valid_to")
+    mine = got.select("f", "version", "valid_from", "valid_to")
+    assert got.count() == 20_000 and mine.exceptAll(plain).isEmpty() and plain.exceptAll(mine).isEmpty()
+    inner = asof_join(facts, hist, "product_id", "ts", how="inner")
+    assert inner.count() == plain.where("version is not null").count() > 10_000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "valid_from" not in plan.split("Join")[1].split("\n")[0]  # no range test inside a join

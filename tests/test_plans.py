@@ -31,3 +31,9 @@ def test_revenue_report_reads_line_items_once(spark):
     p = plan(Models(spark, SF_SMALL).rpt_daily_revenue)
     assert len(re.findall(r"FileScan parquet \S*\[l_orderkey", p)) == 1
     assert "BroadcastExchange" in p            # size-checked product dimension
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    m = Models(spark, SF_SMALL)
+    for df in (m.fct_sessions, m.rpt_daily_revenue):
+        assert "Expand" not in plan(df)

@@ -85,3 +85,33 @@ def test_properties_on_driver_data(spark):
                  F.sum("net_revenue").alias("month_sum")))
     assert last.where("mtd_end != month_sum").count() == 0
     assert r.groupBy("ordered_date", "department_name").count().where("count > 1").count() == 0
+
+
+def test_two_level_counts_equal_plain_distinct_counts(spark):
+    """Orders under several users or none, null sources and keys: the same numbers as plain distinct counts."""
+    import random
+
+    from cartwheel.operators.rollups import daily_revenue_base, session_rollup
+    rng = random.Random(6)
+    pick = rng.choice
+    items = spark.createDataFrame(
+        [(dt.date(2024, 1, 1 + i % 2), pick([1, 2, 3, None]), pick(["o1", "o2", "o3", "o4", None]), pick([7, 8, 9, None]), float(i), 1.0,
+          pick(["returned", "complete", None])) for i in range(300)],
+        "ordered_date date, product_id long, order_key string, user_id long, net_revenue double, net_gross_profit double, order_item_status string") \
+        .withColumn("net_revenue", F.col("net_revenue").cast("decimal(18,9)")).withColumn("net_gross_profit", F.col("net_gross_profit").cast("decimal(18,9)"))
+    products = spark.createDataFrame([(1, "A"), (2, "B"), (3, None)], "product_id long, department_name string")
+    plain = (items.join(products, "product_id").where("department_name is not null").groupBy("ordered_date", "department_name")
+             .agg(F.countDistinct("order_key"), F.count(F.lit(1)), F.countDistinct("user_id"), F.sum("net_revenue").cast("decimal(38,9)"),
+                  F.sum("net_gross_profit").cast("decimal(38,9)"), F.count_if(F.col("order_item_status") == "returned")))
+    assert rows(daily_revenue_base(items, products)) == rows(plain)
+    events = spark.createDataFrame(
+        [(f"k{i:03d}", pick(["s1", "s2", "s3"]), pick([1, None]), pick(["a", "b", None]), pick(["product", "cart", "home", None]),
+          dt.datetime(2024, 1, 1, i % 24), pick(["x", None]), f"/{i}", pick(["c", None])) for i in range(200)],
+        "event_key string, session_id string, user_id long, source_session_id string, event_type string, event_at timestamp, "
+        "traffic_source string, uri string, browser string")
+    first = lambda c: F.min_by(c, F.struct("event_at", "event_key"))
+    is_ = lambda k: F.count_if(F.col("event_type") == k) > 0
+    plain = events.groupBy("session_id", "user_id").agg(
+        F.min("event_at"), F.max("event_at"), F.count(F.lit(1)), F.countDistinct("event_type"), is_("product"), is_("cart"), is_("purchase"),
+        is_("cancel"), F.countDistinct("source_session_id"), first("traffic_source"), first("uri"), first("browser"))
+    assert rows(session_rollup(events)) == rows(plain)

@@ -94,3 +94,19 @@ def test_incremental_slice_matches_full_at_default_timeout(spark):
 def test_buffer_must_cover_timeout():
     with pytest.raises(ValueError):
         Params(session_timeout_minutes=2880, session_buffer_days=1)
+
+
+def test_dense_hour_is_spread_over_its_minutes(spark):
+    """One user with 200,000 events inside one hour: no bucket holds more than a sixtieth and a bit,
+    and flags, starts and ids equal the one-window form."""
+    n = 200_000
+    df = (spark.range(0, n, 1, 8)
+          .select(F.format_string("k%07d", "id").alias("event_key"), F.col("id").alias("event_id"), F.lit(42).cast("long").alias("user_id"),
+                  F.timestamp_micros(F.lit(1767261600_000_000) + F.pmod(F.col("id") * 7919, F.lit(n)) * F.lit(3600_000_000 // n)).alias("event_at"))
+          .withColumn("event_date", F.to_date("event_at")))
+    p = Params(run_date=dt.date(2026, 1, 1))
+    per_bucket = df.groupBy("user_id", F.floor(F.unix_seconds("event_at") / p.session_bucket_seconds)).count()
+    assert per_bucket.agg(F.max("count")).first()[0] <= n / 60 * 1.05
+    cols = ("event_key", "minutes_since_prev_event", "is_session_start", "session_id")
+    a, b = assign_sessions(df, 30, p.session_bucket_seconds).select(*cols), assign_sessions_single_window(df, 30).select(*cols)
+    assert a.exceptAll(b).isEmpty() and a.count() == n
