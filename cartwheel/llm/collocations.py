@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import bisect
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -113,7 +114,8 @@ def _borders(src: DataFrame, parts: int) -> list[bytes]:
                     codes, words, end = _words([text])
                     keys = []
                     for matrix, _ in _edges(codes, end):
-                        keys += _key(lang, words, matrix[::max(SAMPLE_STEP, len(matrix) // SAMPLE_MOST)]).to_pylist()
+                        step = max(SAMPLE_STEP, len(matrix) // SAMPLE_MOST)
+                        keys += _key(lang, words, matrix[zlib.crc32(text) % step::step]).to_pylist()  # short texts give one by chance
                     yield pa.RecordBatch.from_arrays([pa.array(keys[:SAMPLE_MOST], pa.string())], ["key"])
 
     n = src.count()
