@@ -1,9 +1,9 @@
 """Distinct-chunk table: tokenize each distinct chunk once, join ids back by position.
 
 Valid when no token crosses a chunk boundary. Each Python worker keeps one
-table per tokenizer; it is emptied when it reaches ``max_entries``, so memory
-is bounded however many distinct chunks the corpus has, and a lost worker only
-costs tokenizing its chunks again.
+table per tokenizer, which keeps what was asked for last and at most
+``max_entries`` chunks, so memory is bounded however many distinct chunks the corpus
+has, and a lost worker only costs tokenizing its chunks again.
 """
 
 from __future__ import annotations
@@ -16,26 +16,45 @@ import pyarrow as pa
 _TABLES: dict = {}
 
 
+class Recent:
+    """A bounded dictionary in two halves. What is found in the old half moves to the young one; ``turn``
+    lets the old half go once the young one is full, so frequent keys stay."""
+
+    def __init__(self, max_entries: int):
+        self.half, self.young, self.old = max_entries // 2, {}, {}
+
+    def find(self, keys: list) -> list:
+        """The values of ``keys``, None for those not known."""
+        out = list(map(self.young.get, keys))
+        old = self.old.get
+        for i, x in enumerate(out):
+            if x is None:
+                x = old(keys[i])
+                if x is not None:
+                    out[i] = self.young[keys[i]] = x
+        return out
+
+    def turn(self) -> None:
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+
+
 class ChunkTable:
     """chunk -> ids (int32 bytes), filled on demand by ``encode(list of chunks)``."""
 
-    def __init__(self, encode: Callable, max_entries: int = 200_000):
-        self.encode, self.max_entries, self.ids = encode, max_entries, {}
+    def __init__(self, encode: Callable, max_entries: int = 300_000):
+        self.encode, self.ids = encode, Recent(max_entries)
 
     def lookup(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(flat int32 ids, offsets) of distinct ``chunks`` in their order."""
         keys = chunks.to_pylist()
-        found = {}
-        missing = [k for k in keys if k not in self.ids]
+        parts = self.ids.find(keys)
+        missing = [i for i, p in enumerate(parts) if p is None]
         for lo in range(0, len(missing), 5_000):
             part = missing[lo:lo + 5_000]
-            found.update((k, np.asarray(v, np.int32).tobytes()) for k, v in zip(part, self.encode(part)))
-        get = self.ids
-        parts = [get[k] if k in get else found[k] for k in keys]
-        if len(get) + len(found) > self.max_entries:
-            self.ids = found if len(found) <= self.max_entries else {}
-        else:
-            get.update(found)
+            for i, v in zip(part, self.encode([keys[i] for i in part])):
+                self.ids.young[keys[i]] = parts[i] = np.array(v, np.int32).tobytes()
+        self.ids.turn()
         lens = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         flat = np.frombuffer(b"".join(parts), np.int32)
         return flat, np.concatenate(([0], np.cumsum(lens)))

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.chunks import join_by_position, table_for
+from cartwheel.llm.chunks import Recent, join_by_position, table_for
 from cartwheel.llm.common import slices, stored
 
 TOKENIZER = "word_bpe_49k.json"
@@ -55,33 +55,52 @@ def _path(tokenizer: str | None) -> str:
 def _word_encoder(tokenizer: str | None):
     """White space never reaches this tokenizer's model, so words are independent chunks.
 
-    Plain words (ASCII letters, perhaps a full stop or comma after them) go
-    straight to the model's merges: normaliser and splitter do no more to them
-    than lower-case and cut off the mark, which is tried on a few words first.
-    All others go through the whole tokenizer.
+    Plain words (letters up to U+00FF, perhaps a full stop or comma after them) go
+    straight to the model's merges, each once whatever its case and the mark: normaliser
+    and splitter do no more to them than lower-case, cut off the mark and spell the
+    bytes, which is tried on a few words first. All others go through the whole tokenizer.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+
     tok = Tokenizer.from_file(_path(tokenizer))
-    merge = tok.model.tokenize
     whole = lambda words: [e.ids for e in tok.encode_batch(words, add_special_tokens=False)]
-
-    def direct(word):
-        core, mark = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
-        return [t.id for part in (core.lower(), mark) if part for t in merge(part)]
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+    spelt = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+
+    def merge(core):
+        return [t.id for t in tok.model.tokenize(core if core.isascii() else "".join(map(spelt.get, core.encode())))]
+
+    cores = Recent(200_000)
+    marks = {m: merge(m) for m in ".,"}
+
+    def direct(words):
+        split = [(w[:-1].lower(), marks[w[-1]]) if w[-1] in ".," else (w.lower(), None) for w in words]
+        names = [core for core, _ in split]
+        found = cores.find(names)
+        out = []
+        for core, ids, (_, mark) in zip(names, found, split):
+            if ids is None:
+                ids = cores.young.get(core)
+                if ids is None:
+                    ids = cores.young[core] = merge(core) if core else []
+            out.append(ids + mark if mark else ids)
+        cores.turn()
+        return out
 
     def plain(word):
         core = word[:-1] if word[-1:] in (".", ",") else word
-        return core.isascii() and core.isalpha()
+        return core.isalpha() and max(core) <= "\xff"
 
-    probes = ["Word", "the,", "Merge.", "S", "tokenizers", "AND", "don,"]
-    if whole(probes) != [direct(w) for w in probes]:
+    probes = ["Word", "the,", "Merge.", "S", "tokenizers", "AND", "don,", "Éléphant.", "straße", "ñandÚ,", "Àÿ", "ªº", "µm"]
+    if whole(probes) != direct(probes):
         return whole
 
     def encode(words):
         rest = [w for w in words if not plain(w)]
         known = dict(zip(rest, (ids for lo in range(0, len(rest), 1000) for ids in whole(rest[lo:lo + 1000]))))
-        return [known[w] if w in known else direct(w) for w in words]
+        through = iter(direct([w for w in words if w not in known]))
+        return [known[w] if w in known else next(through) for w in words]
 
     return encode
 
@@ -215,7 +234,7 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", to
                  pa.array([lens], pa.list_(pa.int32())), pa.array([_pack(ids)], pa.binary())],
                 ["part", "seq", "doc_ids", "lens", "raw"])
 
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 6 << 20):
             lists = pc.ascii_split_whitespace(pc.fill_null(b.column("text"), "").cast(pa.string()))
             ids, offs = join_by_position(lists, table, end_id)
             held.append(ids)
