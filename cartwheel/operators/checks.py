@@ -259,7 +259,7 @@ def _tags(model: str, specs: list[CheckSpec]) -> str | None:
 
     for i, s in enumerate(specs):
         if s.model == model and s.kind in ("not_null", "accepted_values", "expression"):
-            tag(i, ROW, "CAST(NULL AS STRING)", f"CASE WHEN {_failure_sql(s)} THEN 1 ELSE 0 END")
+            tag(i, ROW, "CAST(NULL AS STRING)", 1, _failure_sql(s))
         elif s.model == model and s.kind == "unique":
             tag(i, UNIQ, _key_sql((s.column,)), 1, f"{_q(s.column)} IS NOT NULL")
         elif s.model == model and s.kind == "unique_combination":
@@ -278,10 +278,10 @@ def _tags(model: str, specs: list[CheckSpec]) -> str | None:
 def declared_check_counts(specs: Iterable[CheckSpec], models: Callable[[str], DataFrame]) -> DataFrame:
     """One row per declared check: (check_name, model, kind, severity, failures).
 
-    Every model is read once: each of its rows emits one small record per check
-    it takes part in (row-level outcome, unique key, relationship child or
-    parent key), tagged with an integer check id. One aggregation over
-    (check, key) then evaluates all checks:
+    Every model is read once: each of its rows emits one small record per row-level
+    check that it fails (a healthy table emits none) and one per key that takes part
+    in a check (unique key, relationship child or parent key), tagged with an integer
+    check id. One aggregation over (check, key) then evaluates all checks:
       row-level     failures = failing rows
       unique        failures = keys seen more than once
       relationships failures = child rows whose key has no parent row
