@@ -112,20 +112,20 @@ def _solve(patterns, sources, supply, quotas, epochs, costs) -> dict:
             e = used[p] // supply[p]
             if e < epochs:
                 heapq.heappush(heap, (costs[e], k, "p", p, None))
-        tick, goal = len(patterns), None
+        tick, goal, reached = len(patterns), None, False  # a goal may be None: the null source
         while heap:
             cost, _, kind, node, origin = heapq.heappop(heap)
             if (kind, node) in best:
                 continue
             best[kind, node], back[kind, node] = cost, origin
             if kind == "s" and need[node] > 0:
-                goal = node
+                goal, reached = node, True
                 break
             for other in (node if kind == "p" else into[node]):
                 if kind == "p" or flow[other, node] > 0:
                     tick += 1
                     heapq.heappush(heap, (cost, tick, "s" if kind == "p" else "p", other, (kind, node)))
-        if goal is None:
+        if not reached:
             return {k: v for k, v in flow.items() if v}
         path, at = [], ("s", goal)
         while at is not None:

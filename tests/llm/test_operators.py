@@ -430,3 +430,17 @@ def test_embeddings_without_ids_do_not_join_groups(spark):
     got_ = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.links(table).collect()), key=repr)
     assert got_ == sorted([(None, 1, None, True), (None, 1, None, True), (5, 1, None, False), (7, 1, None, False),
                            (11, 2, 11, True), (12, 2, 11, False), (13, 2, 11, False), (14, 0, 14, True)], key=repr)
+
+
+def test_mix_takes_from_the_null_source(spark):
+    """Null is a source like any other, last in order; overlapping patterns that hold it route to it too."""
+    rows = [(i, " ".join(["w"] * (20 + i % 37)), [["a"], [None], ["b", None], ["b"]][i % 4]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source array<string>")
+    got_ = mixing.taken(docs, F.col("source")).collect()
+    total, target = Counter(), {}
+    for r in got_:
+        total[tuple(r.pattern)] += r.taken
+        target.update({s.source: s.target for s in r.by_source})
+    assert abs(total["a",] - target["a"]) <= 12
+    assert abs(sum(total.values()) - sum(target.values())) <= 40
+    assert total[None,] + total["b", None] >= target[None] - 40  # whichever of its patterns the words come from
