@@ -200,11 +200,12 @@ def write_incremental(spark: SparkSession, df: DataFrame, path: str, partition_b
     return "incremental"
 
 
-def store_failures(df: DataFrame, root: str, check_name: str, run_date) -> None:
+def store_failures(df: DataFrame, root: str, check_name: str, run_date) -> int:
     """Keep a check's failing rows under check=<name>/run_date=<d>, replacing
-    that run's previous rows (idempotent rerun)."""
+    that run's previous rows (idempotent rerun). Returns how many there are, counted on what was stored."""
     path = f"{root.rstrip('/')}/check={check_name}/run_date={run_date}"
     df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def with_partition_date(df: DataFrame, event_time: str, name: str = "_partition_date") -> DataFrame:

@@ -112,9 +112,9 @@ class DailyRun:
                         for r in counts.collect()]  # one row per check
         for name, (severity, build) in (singular or {}).items():
             failing = build()
-            if severity == "warn":
-                store_failures(failing, f"{self.root}/audit", name, self.params.run_date)
-            results.append(Q.CheckResult(name, severity, failing.count()))
+            n = (store_failures(failing, f"{self.root}/audit", name, self.params.run_date) if severity == "warn"
+                 else failing.count())
+            results.append(Q.CheckResult(name, severity, n))
         self.report.checks += results
         errors = [r for r in results if r.severity == "error" and r.failures]
         if errors and self.gate:

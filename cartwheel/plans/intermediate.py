@@ -17,11 +17,10 @@ def int_order_items_enriched(stg_order_items: DataFrame, stg_orders: DataFrame,
     J1: header join on (order_id, load generation) — an order id reused by a
     later generation can never fan an item out; an item whose header is from
     another generation gets a NULL order key (trap T4).
-    J2: products is a dimension: broadcast after its row count is checked, so
-    the fact is never shuffled to meet it; beyond the bound it is a sort-merge
-    join. The header join is left to Spark's size-checked broadcast (estimate
-    vs autoBroadcastJoinThreshold, re-checked by AQE on the measured size);
-    at scale it is a sort-merge join whose skewed partitions AQE splits.
+    J2: products is a dimension. Both joins are left to Spark's size-checked
+    broadcast (estimate vs autoBroadcastJoinThreshold, re-checked by AQE on the
+    measured size); beyond it they are sort-merge joins whose skewed partitions
+    AQE splits.
     """
     orders = stg_orders.select("order_key", "order_id", "order_status",
                                F.col("item_count").alias("order_item_count"), "_load_generation")

@@ -18,9 +18,10 @@ from cartwheel.operators import rollups as A
 from cartwheel.operators import windows as W
 from cartwheel.operators.joins import asof_join
 from cartwheel.operators.sessionize import sessionize
-from cartwheel.operators.writers import read_table, sync_columns, write_incremental
+from cartwheel.operators.writers import read_table, store_failures, sync_columns, write_incremental, write_table
 from cartwheel.params import Params
 from cartwheel.plans import oracle as O
+from cartwheel.plans.contracts import CONTRACTS
 from cartwheel.plans.declared_checks import DECLARED_CHECKS
 from cartwheel.plans.models import Models
 from cartwheel.plans.registry import register
@@ -706,6 +707,47 @@ def sync_schema_events(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("write_contracted_users", O.model("dim_users"))
+def write_contracted_users(spark, sf):
+    """Q12/Q13: the user dimension under its contract, names, types and not-null columns asserted at the write."""
+    path = _table(spark, "dim-users")
+    schema, not_null = CONTRACTS["dim_users"]
+    write_table(Q.enforce_contract(_m(spark, sf).dim_users, schema, not_null), path, cluster_by=("user_id",))
+    return read_table(spark, path)
+
+
+@register("failure_trend_stored", O.oracle(f"""
+SELECT 'accepted_department' AS "check", DATE '{ORDERS_RUN_DATE - dt.timedelta(days=1)}' AS run_date, count(*) AS failing_rows
+FROM stg_products WHERE department_name NOT IN ('Men', 'Women') AND product_id % 2 = 0 HAVING count(*) > 0
+UNION ALL
+SELECT 'accepted_department', DATE '{ORDERS_RUN_DATE}', count(*)
+FROM stg_products WHERE department_name NOT IN ('Men', 'Women') HAVING count(*) > 0
+UNION ALL
+SELECT 'unique_order_line', DATE '{ORDERS_RUN_DATE}', count(*)
+FROM (SELECT 1 FROM stg_order_items GROUP BY order_id, order_item_id HAVING count(*) > 1) d HAVING count(*) > 0""",
+    "stg_products", "stg_order_items"))
+def failure_trend_stored(spark, sf):
+    """The trend over stored failures of two runs; the second run of a day replaces the first."""
+    root, day_before = _table(spark, "audit"), ORDERS_RUN_DATE - dt.timedelta(days=1)
+    failing = check_accepted_values_department(spark, sf)
+    store_failures(failing.where(F.col("product_id") % 2 == 0), root, "accepted_department", day_before)
+    store_failures(failing.where(F.col("product_id") % 3 == 0), root, "accepted_department", ORDERS_RUN_DATE)
+    store_failures(failing, root, "accepted_department", ORDERS_RUN_DATE)
+    store_failures(check_unique_order_line(spark, sf), root, "unique_order_line", ORDERS_RUN_DATE)
+    stored = spark.read.option("mergeSchema", "true").parquet(root).select("check", F.col("run_date").cast("date").alias("run_date"))
+    return X.failure_trend(stored)
+
+
+@register("upsert_products_eligible", O.oracle("""
+SELECT p1.* FROM p1 WHERE NOT (p1.cost > 570) OR NOT EXISTS (SELECT 1 FROM p2 WHERE p2.id = p1.id)
+UNION ALL SELECT p2.* FROM p2 WHERE p2.cost > 570""", "p1", "p2"))
+def upsert_products_eligible(spark, sf):
+    """X5 with a target predicate: only dear products are eligible, and only such rows come in."""
+    p1 = product_state_1(spark, sf)
+    dear = F.col("cost") > 570
+    return X.upsert(p1, product_state_2(p1).where(dear), "id", dear)
+
+
 @register("landing_partition_scan", O.oracle("""
 SELECT event_key, user_id, event_type, event_date AS ingest_date FROM stg_events
 WHERE event_date IN (SELECT event_date FROM stg_events WHERE event_type = 'purchase' GROUP BY event_date
