@@ -234,7 +234,7 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", to
                  pa.array([lens], pa.list_(pa.int32())), pa.array([_pack(ids)], pa.binary())],
                 ["part", "seq", "doc_ids", "lens", "raw"])
 
-        for b in slices(batches, "text", 6 << 20):
+        for b in slices(batches, "text", 3 << 20):
             lists = pc.ascii_split_whitespace(pc.fill_null(b.column("text"), "").cast(pa.string()))
             ids, offs = join_by_position(lists, table, end_id)
             held.append(ids)
