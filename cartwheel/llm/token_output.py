@@ -71,7 +71,7 @@ def _word_encoder(tokenizer: str | None):
     def merge(core):
         return [t.id for t in tok.model.tokenize(core if core.isascii() else "".join(map(spelt.get, core.encode())))]
 
-    cores = Recent(200_000)
+    cores = Recent(60_000)
     marks = {m: merge(m) for m in ".,"}
 
     def direct(words):
