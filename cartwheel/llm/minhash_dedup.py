@@ -6,17 +6,21 @@ search runs over different sets only. One permutation of the hash space is cut
 into BINS ranges; the smallest hash of each range is the sketch, and an empty
 range borrows from a range picked by its own hash sequence (optimal
 densification). ROWS bins make a band key. Inside a bucket only star edges to
-a centre are candidates, in the first round at most as many as the rows, and
-each candidate is confirmed on the full sets.
+a centre are looked at, in the first round at most as many as the rows.
 
 A star can miss two members that are alike but both unlike their centre. So
 while a bucket holds several components, members outside its largest one
-become centres in turn, four times as many a round, until each of them has been a
+become centres in turn, GROWTH times as many a round, until each of them has been a
 centre there. Of two members in different components one at least was then
-compared with the other, so no pair that shares a bucket is missed. Pairs
-inside one component, pairs tested before and pairs whose set sizes rule out a
-link are not compared. At a similarity of 0.8 a pair shares no bucket with
-probability (1 - 0.8**5)**32 = 3e-6.
+held against the other, so no pair that shares a bucket is missed. At a
+similarity of 0.8 a pair shares no bucket with probability (1 - 0.8**5)**32 = 3e-6.
+
+An edge becomes a candidate row, to be confirmed on the full sets, only if its
+ends lie in different components and neither the set sizes nor the marks rule a
+link out. A set's marks are 64 * MARKS parities: each shingle flips one of them.
+Two sets' marks differ in at most as many places as the sets differ in shingles,
+so a pair whose marks differ too much has no link: nothing is lost, and unlike
+members of a hot bucket cost a comparison inside the join, not a row.
 
 Links: 100 * |intersection| >= PERCENT * |union|.
 
@@ -44,7 +48,8 @@ PERCENT = 80
 ROWS, BANDS = 5, 32
 BINS = ROWS * BANDS
 TRIES = 512
-CENTRES = 4
+CENTRES, GROWTH = 8, 16
+MARKS = 16
 
 
 def _word_hashes(dictionary: pa.Array) -> np.ndarray:
@@ -133,14 +138,31 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, own long, tk long, n_shingles long, digest binary, bands array<long>")
 
 
+def marks(values: np.ndarray) -> np.ndarray:
+    """64 * MARKS parities as uint64 words: bit j tells whether an odd number of the hashes end in j."""
+    odd = np.bincount((values % np.uint64(64 * MARKS)).astype(np.int64), minlength=64 * MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """rep, items array<long>: the whole set."""
+    """rep, items array<long> (the whole set), marks array<long>."""
 
     def run(batches):
         for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([b.column("rep"), _lists(shingle_sets(b.column("text"), shingle))], ["rep", "items"])
+            sets = shingle_sets(b.column("text"), shingle)
+            yield pa.RecordBatch.from_arrays([b.column("rep"), _lists(sets), _lists([marks(s) for s in sets])], ["rep", "items", "marks"])
 
-    return docs.mapInArrow(run, "rep long, items array<long>")
+    return docs.mapInArrow(run, "rep long, items array<long>, marks array<long>")
+
+
+def _may_link(percent: int) -> Column:
+    """False only where the sizes or the marks of a member (n, marks) and a centre (cn, cm) rule a link out.
+
+    A link leaves at most (100 - percent) / (100 + percent) of both sizes together unshared.
+    """
+    sizes = F.lit(100) * F.least("n", "cn") >= F.lit(percent) * F.greatest("n", "cn")
+    differ = sum((F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("cm")[i])) for i in range(MARKS)), F.lit(0))
+    return sizes & (F.lit(100 + percent) * differ <= F.lit(100 - percent) * (F.col("n") + F.col("cn")))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -166,10 +188,10 @@ def _first_centres(bucket: DataFrame) -> DataFrame:
 
 
 def _next_centres(waiting: DataFrame, r: int) -> DataFrame:
-    """The same for about CENTRES * 4**(r-1) seeded picks a bucket of the members that wait, all of them when they are fewer."""
+    """The same for about CENTRES * GROWTH**(r-1) seeded picks a bucket of the members that wait, all of them when they are fewer."""
     left = waiting.groupBy("key").agg(F.count(F.lit(1)).alias("left"))
     turn = F.pmod(F.xxhash64(F.lit(r), "rep"), F.col("left"))
-    return waiting.join(left, "key").filter(turn < F.lit(CENTRES << 2 * (r - 1))) \
+    return waiting.join(left, "key").filter(turn < F.lit(CENTRES * GROWTH ** (r - 1)).cast("long")) \
         .select("key", F.col("rep").alias("c"), F.col("component").alias("cc"), F.col("n").alias("cn"))
 
 
@@ -212,7 +234,8 @@ def _grouped(src: DataFrame, shingle: int, percent: int) -> DataFrame:
     sets = stored(full_sets(chosen, shingle).dropDuplicates(["rep"]), "sets")
 
     comp = stored(sets.select("rep", F.size("items").alias("n"), F.col("rep").alias("component")), "components")
-    done = tested = None
+    seen = sets.select("rep", "marks")
+    done = None
     r = 0
     while True:
         bucket = rows.join(comp, "rep")
@@ -220,21 +243,21 @@ def _grouped(src: DataFrame, shingle: int, percent: int) -> DataFrame:
             centre = _first_centres(bucket)
         else:
             bucket = stored(_open_buckets(bucket), "open-buckets")
-            waiting = bucket.filter("component != main").join(done, ["key", "rep"], "left_anti")
+            waiting = bucket.filter("component != main")
+            if r > 1:
+                waiting = waiting.join(done, ["key", "rep"], "left_anti")
             if waiting.isEmpty():
                 break
             centre = _next_centres(waiting, r)
-        centre = stored(centre, "centres")
-        used = centre.select("key", F.col("c").alias("rep"))
-        done = used if done is None else done.unionByName(used)
-        fits = F.lit(100) * F.least("n", "cn") >= F.lit(percent) * F.greatest("n", "cn")
-        pairs = bucket.join(centre, "key").filter((F.col("component") != F.col("cc")) & fits) \
+        centre = stored(centre.join(seen.select(F.col("rep").alias("c"), F.col("marks").alias("cm")), "c"), "centres")
+        if r:
+            used = centre.select("key", F.col("c").alias("rep"))
+            done = used if done is None else done.unionByName(used)
+            bucket = bucket.join(used.select("key").distinct(), "key", "left_semi")
+        pairs = bucket.join(seen, "rep").join(centre, "key").filter((F.col("component") != F.col("cc")) & _may_link(percent)) \
             .select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b"),
                     F.least("component", "cc").alias("ca"), F.greatest("component", "cc").alias("cb")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         new = stored(_confirmed(pairs, sets, percent), "confirmed")
         if not new.isEmpty():
             comp = stored(_merged(comp, new), "components")

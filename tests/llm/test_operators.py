@@ -245,6 +245,26 @@ def test_minhash_links_members_that_miss_their_centre(spark):
     assert {r.doc_id: r.component_id for r in out.collect()} == {0: 0, **{i: 1 for i in range(1, 20)}}
 
 
+def test_minhash_marks_never_rule_out_a_link(spark):
+    """Marks differ in at most as many places as the sets do; a member that links with a centre always passes, most unlike ones do not."""
+    rng = np.random.default_rng(11)
+    rows, links = [], {}
+    for i in range(300):
+        size, off = int(rng.integers(1, 400)), float(rng.uniform(0, 0.3))
+        x = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        y = np.unique(np.where(rng.uniform(size=size) < off, rng.integers(0, 1 << 63, size, dtype=np.uint64), x))
+        x = np.unique(x)
+        mx, my = minhash_dedup.marks(x), minhash_dedup.marks(y)
+        both = len(np.intersect1d(x, y))
+        assert sum(int(a ^ b).bit_count() for a, b in zip(mx.tolist(), my.tolist())) <= len(x) + len(y) - 2 * both
+        links[i] = 100 * both >= 80 * (len(x) + len(y) - both)
+        rows.append((i, len(x), len(y), mx.view(np.int64).tolist(), my.view(np.int64).tolist()))
+    table = spark.createDataFrame(rows, "i int, n int, cn int, marks array<long>, cm array<long>")
+    passed = {r.i for r in table.filter(minhash_dedup._may_link(80)).collect()}
+    right = {i for i, v in links.items() if v}
+    assert right <= passed and len(passed - right) < len(links) // 10 and len(right) > 50
+
+
 def test_minhash_centres_take_turns(spark):
     """Every member outside its bucket's largest component is a centre once; no member of the largest is."""
     rows = [(1, r, 10, 100 if r < 30 else r) for r in range(20, 60)] + [(2, r, 10, 7) for r in range(5)]
