@@ -50,6 +50,7 @@ BINS = ROWS * BANDS
 TRIES = 512
 CENTRES, GROWTH = 8, 16
 MARKS = 16
+SIEVE = 19
 
 
 def _word_hashes(dictionary: pa.Array) -> np.ndarray:
@@ -209,6 +210,18 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return src.select("doc_id", F.coalesce("doc_id", F.lit(NULL_ID).cast("long")).alias("own"), F.xxhash64("text").alias("tk"), "text")
 
 
+def _sieved(src: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``src`` whose (own, tk) may be in ``wanted``: texts that surely are not are never exchanged.
+
+    One bit per key in 2**SIEVE words of 64, so the broadcast has a fixed bound (16 bytes a word);
+    a full sieve lets every row through, and the exact join follows in any case.
+    """
+    h = F.xxhash64(F.lit("sieve"), "own", "tk")
+    word, bit = F.shiftrightunsigned(h, 64 - SIEVE).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    sieve = wanted.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return src.withColumn("word", word).join(F.broadcast(sieve), "word").filter(F.col("bits").bitwiseAND(bit) != 0).drop("word", "bits")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
@@ -221,17 +234,14 @@ def _grouped(src: DataFrame, shingle: int, percent: int) -> DataFrame:
     """doc_id, own, tk, n_shingles, low (smallest id of the component), stays (one set and id of each component)."""
     named = stored(sketches(src, shingle), "sketches")
     # classes of equal sets, numbered once: the numbers are the nodes, whatever ids the texts share
-    cls = stored(named.filter("n_shingles > 0").groupBy("digest").agg(F.min(F.struct("own", "tk")).alias("first"))
-                 .select("digest", "first", F.monotonically_increasing_id().alias("rep")), "classes")
-    first = cls.select("rep", F.col("first.own").alias("own"), F.col("first.tk").alias("tk"), "digest")
-    reps = named.join(first, ["digest", "own", "tk"]).select("rep", "bands").dropDuplicates(["rep"])
-    rows = stored(reps.select("rep", F.explode("bands").alias("key")), "bands")
+    cls = stored(named.filter("n_shingles > 0").groupBy("digest").agg(F.min(F.struct("own", "tk", "bands")).alias("low"))
+                 .select("digest", F.struct("low.own", "low.tk").alias("first"), "low.bands", F.monotonically_increasing_id().alias("rep")), "classes")
+    rows = cls.select("rep", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     rows = stored(rows.join(shared, "key"), "buckets")
-    wanted = rows.select("rep").distinct().join(first.drop("digest"), "rep")
-    wanted = stored(wanted, "wanted")  # its written size lets Spark broadcast it only while small
-    chosen = src.join(wanted, ["own", "tk"]).select("rep", "text")
-    sets = stored(full_sets(chosen, shingle).dropDuplicates(["rep"]), "sets")
+    wanted = stored(rows.select("rep").distinct().join(cls.select("rep", "first.*"), "rep"), "wanted")
+    once = _sieved(src, wanted).dropDuplicates(["own", "tk"])  # repeated rows combine before they move
+    sets = stored(full_sets(once.join(wanted, ["own", "tk"]).select("rep", "text"), shingle), "sets")
 
     comp = stored(sets.select("rep", F.size("items").alias("n"), F.col("rep").alias("component")), "components")
     seen = sets.select("rep", "marks")
