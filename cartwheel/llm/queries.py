@@ -17,7 +17,7 @@ UP, LO = exact_dedup.UPPER, exact_dedup.LOWER
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-files")
     token_output.write_token_files(documents(spark, sf_dir), path)
-    return token_output.digests(token_output.read_token_files(spark, path))
+    return token_output.read_digests(spark, path)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

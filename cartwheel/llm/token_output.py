@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ LANES, SEGMENT = 1024, 256
 BLOCK_TOKENS = 1 << 20
 RAW_SCHEMA = "part int, seq long, doc_ids array<long>, lens array<int>, raw binary"
 BLOCK_SCHEMA = "part int, seq long, start long, doc_ids array<long>, lens array<int>, payload binary"
+DIGEST_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _MODELS: dict = {}
 
 
@@ -307,8 +309,8 @@ def starts_fit(spark: SparkSession, raw: DataFrame, limit: int = 100_000) -> boo
     return raw.count() <= limit
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, ids array<int>, one row per document, decoded from the block files."""
+def _decoded(spark: SparkSession, path: str, each: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """``each`` of the decoded documents, up to 2000 at a time, in the worker that decodes them."""
     scale, freq = spark.read.parquet(f"{path}/table").first()
     shared = spark.sparkContext.broadcast(np.asarray(freq, np.int64))
 
@@ -317,33 +319,42 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         slots = np.repeat(np.arange(len(f)), f)
         for b in batches:
             for i in range(b.num_rows):
-                ids = decode_block(b.column("payload")[i].as_py(), f, slots)
+                ids = decode_block(b.column("payload")[i].as_py(), f, slots).astype(np.int32)
                 lens = np.asarray(b.column("lens")[i].as_py(), np.int64)
                 offs = np.concatenate(([0], np.cumsum(lens)))
                 for lo in range(0, len(lens), 2000):
                     hi = min(len(lens), lo + 2000)
-                    yield pa.RecordBatch.from_arrays(
+                    yield each(pa.RecordBatch.from_arrays(
                         [b.column("doc_ids")[i].values.slice(lo, hi - lo),
                          pa.array(b.column("start")[i].as_py() + offs[lo:hi], pa.int64()),
                          pa.ListArray.from_arrays(pa.array(offs[lo:hi + 1] - offs[lo], pa.int32()),
-                                                  pa.array(ids[offs[lo]:offs[hi]].astype(np.int32)))],
-                        ["doc_id", "start", "ids"])
+                                                  pa.array(ids[offs[lo]:offs[hi]]))],
+                        ["doc_id", "start", "ids"]))
 
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
-    return blocks.select("start", "doc_ids", "lens", "payload").mapInArrow(run, "doc_id long, start long, ids array<int>")
+    return blocks.select("start", "doc_ids", "lens", "payload").mapInArrow(run, schema)
+
+
+def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, ids array<int>, one row per document, decoded from the block files."""
+    return _decoded(spark, path, lambda b: b, "doc_id long, start long, ids array<int>")
+
+
+def _digest(b: pa.RecordBatch) -> pa.RecordBatch:
+    ids = b.column("ids")
+    flat, offs = ids.flatten().to_numpy().astype("<u4"), ids.offsets.to_numpy()
+    offs = offs - offs[0]
+    data = memoryview(flat.tobytes())
+    crc = [zlib.crc32(data[4 * lo:4 * hi]) for lo, hi in zip(offs[:-1], offs[1:])]
+    return pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), pa.array(np.diff(offs), pa.int64()),
+                                       pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def digests(decoded: DataFrame) -> DataFrame:
     """The contract's columns: crc32 of each document's ids as little-endian 32-bit integers."""
+    return decoded.mapInArrow(lambda batches: map(_digest, batches), DIGEST_SCHEMA)
 
-    def run(batches):
-        for b in batches:
-            ids = b.column("ids")
-            flat, offs = ids.flatten().to_numpy().astype("<u4"), ids.offsets.to_numpy()
-            offs = offs - offs[0]
-            data = memoryview(flat.tobytes())
-            crc = [zlib.crc32(data[4 * lo:4 * hi]) for lo, hi in zip(offs[:-1], offs[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), pa.array(np.diff(offs), pa.int64()),
-                                              pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return decoded.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """``digests`` of ``read_token_files``: ids go no further than the worker that decodes them."""
+    return _decoded(spark, path, _digest, DIGEST_SCHEMA)

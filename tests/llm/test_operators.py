@@ -81,6 +81,17 @@ def test_token_blocks_round_trip(spark, docs, nothing, tmp_path):
     assert token_output.read_token_files(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_token_digests_stay_with_the_decoder(spark, docs, tmp_path, capsys):
+    """One Python worker a task: ids are hashed where they are decoded."""
+    path = str(tmp_path / "d")
+    token_output.write_token_files(docs, path, block_tokens=500)
+    out = token_output.read_digests(spark, path)
+    cols = ("doc_id", "start", "n_tokens", "ids_crc32")
+    assert got(out, *cols) == got(token_output.digests(token_output.read_token_files(spark, path)), *cols)
+    out.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
 def test_rans_segments_and_damage():
     ids = np.random.default_rng(1).zipf(1.3, 700_001) % 5000
     freq = token_output.scaled_frequencies(np.bincount(ids, minlength=5000))
