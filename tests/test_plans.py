@@ -37,3 +37,22 @@ def test_distinct_counts_copy_no_rows(spark):
     m = Models(spark, SF_SMALL)
     for df in (m.fct_sessions, m.rpt_daily_revenue):
         assert "Expand" not in plan(df)
+
+
+@contextlib.contextmanager
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_items_are_dealt_by_order_once_and_narrow(spark):
+    with no_broadcast(spark):
+        p = plan(Models(spark, SF_SMALL).int_order_items_enriched)
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+    assert len(dealt) == 5, dealt               # lines, two reads of orders, items and products by product
+    assert not [e for e in dealt if "_load_generation" in e]
