@@ -56,3 +56,9 @@ def test_items_are_dealt_by_order_once_and_narrow(spark):
     dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
     assert len(dealt) == 5, dealt               # lines, two reads of orders, items and products by product
     assert not [e for e in dealt if "_load_generation" in e]
+
+
+
+def test_line_count_joins_keep_their_partitions(spark):
+    p = plan(Models(spark, SF_SMALL).stg_order_items)
+    assert "REPARTITION_BY_NUM" in p            # AQE folds no such partitions into one task
