@@ -58,6 +58,10 @@ def test_items_are_dealt_by_order_once_and_narrow(spark):
     assert not [e for e in dealt if "_load_generation" in e]
 
 
+def test_revenue_counts_orders_by_packed_keys(spark):
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(Models(spark, SF_SMALL).rpt_daily_revenue))
+    assert any(e.startswith("ordered_date") for e in dealt) and not [e for e in dealt if "order_key" in e], dealt
+
 
 def test_line_count_joins_keep_their_partitions(spark):
     p = plan(Models(spark, SF_SMALL).stg_order_items)
