@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from cartwheel.functions.exprs import age_group, is_revenue_recognized
+from cartwheel.functions.exprs import age_group, is_revenue_recognized, packed_key, unpacked_key
 from cartwheel.operators import checks as Q
 from cartwheel.plans.intermediate import int_order_items_enriched
 from cartwheel.plans.staging import stg_order_items, stg_orders, stg_products
@@ -135,3 +135,49 @@ def test_fused_check_engine_equals_generic_checks(spark):
         else:
             n = Q.check_relationships(df, s.column, get(s.args[0]), s.args[1]).count()
         assert fused[s.name] == n, s.name
+
+
+def test_packed_keys_keep_every_text(spark):
+    texts = [None, "", "a", "ab", "AB", "0ab", "no hex", "12", "d41d8cd98f00b204e9800998ecf8427e", "D41D8CD98F00B204E9800998ECF8427E"]
+    df = spark.createDataFrame([(t,) for t in texts], "k string").select("k", packed_key("k").alias("p"))
+    assert all(r.k == r.u for r in df.select("k", unpacked_key("p").alias("u")).collect())
+    assert df.select("p").distinct().count() == len(texts)
+    assert df.where("k like 'd41%'").select(F.length("p.digest").alias("n"), "p.text").first() == (16, None)
+
+
+def test_headers_match_by_generation_whatever_repeats(spark):
+    """Equal order ids join only within a generation; repeated headers repeat, null ids and generations find none."""
+    day = [dt.date(2026, 8, 17), dt.date(2026, 8, 18), None]
+    items = spark.createDataFrame(
+        [(f"k{i}", o, g) for i, (o, g) in enumerate([(1, 0), (1, 1), (1, 2), (2, 0), (None, 0), (3, 1)])], "order_item_key string, order_id long, g int")
+    heads = spark.createDataFrame([("h1", 1, 0), ("h2", 1, 1), ("h3", 1, 1), ("h4", 1, 2), ("h5", None, 0), (None, 3, 1)], "order_key string, order_id long, g int")
+    pick = F.when(F.col("g") == 0, F.lit(day[0])).when(F.col("g") == 1, F.lit(day[1])).alias("_load_generation")
+    null = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
+    items = items.select("order_item_key", "order_id", pick, *null("long", "order_item_id", "user_id", "product_id", "inventory_item_id"),
+                         *null("string", "order_item_status"), *null("decimal(18,9)", "sale_price"), *null("date", "ordered_date"),
+                         *null("timestamp", "ordered_at", "shipped_at", "delivered_at", "returned_at"))
+    heads = heads.select("order_key", "order_id", pick, *null("string", "order_status"), *null("long", "item_count"))
+    goods = spark.range(0).select(*null("long", "product_id", "distribution_center_id"), *null("decimal(18,9)", "unit_cost", "retail_price"),
+                                  *null("string", "product_name", "brand_name", "category_name", "department_name"))
+    out = int_order_items_enriched(items, heads, goods)
+    assert rows(out, "order_item_key", "order_key") == sorted(
+        [("k0", "h1"), ("k1", "h2"), ("k1", "h3"), ("k2", None), ("k3", None), ("k4", None), ("k5", None)], key=repr)
+
+
+def test_checks_declared_by_two_models_count_for_both(spark):
+    """The fact selects from its base row by row: both models' checks are read from the fact."""
+    base = spark.createDataFrame([("a", 1, 9), ("a", None, 8), ("b", 2, 7), (None, 2, 6)], "k string, n long, more long")
+    frames = {"base": base, "fact": base.select("k", "n"), "ref": spark.createDataFrame([(1,)], "n long")}
+    specs = [Q.CheckSpec(m, *s) for m in ("base", "fact") for s in (("k", "unique"), ("k", "not_null"), ("n", "relationships", ("ref", "n")))]
+    specs.append(Q.CheckSpec("ref", "n", "relationships", ("base", "n")))
+    asked = []
+
+    def models(name):
+        asked.append(name)
+        return frames[name]
+
+    plain = rows(Q.declared_check_counts(specs, models), "check_name", "model", "failures")
+    assert {r[0]: r[2] for r in plain}["unique__fact__k"] == 1
+    asked.clear()
+    assert rows(Q.declared_check_counts(specs, models, {"base": "fact"}), "check_name", "model", "failures") == plain
+    assert sorted(asked) == ["fact", "ref"]

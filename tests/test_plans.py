@@ -4,6 +4,8 @@ import contextlib
 import io
 import re
 
+from cartwheel.operators.checks import declared_check_counts
+from cartwheel.plans.declared_checks import DECLARED_CHECKS, ROWS_IN
 from cartwheel.plans.models import Models
 from conftest import SF_SMALL
 
@@ -66,3 +68,10 @@ def test_revenue_counts_orders_by_packed_keys(spark):
 def test_line_count_joins_keep_their_partitions(spark):
     p = plan(Models(spark, SF_SMALL).stg_order_items)
     assert "REPARTITION_BY_NUM" in p            # AQE folds no such partitions into one task
+
+
+def test_checks_of_item_models_read_one_frame(spark):
+    m = Models(spark, SF_SMALL)
+    specs = [s for s in DECLARED_CHECKS if s.model in ("int_order_items_enriched", "fct_order_items") and s.kind == "unique"]
+    p = plan(declared_check_counts(specs, lambda n: getattr(m, n), ROWS_IN))
+    assert len(specs) == 2 and len(re.findall(r"FileScan parquet \S*\[l_orderkey", p)) == 1
