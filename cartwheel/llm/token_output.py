@@ -21,10 +21,13 @@ doc_id sorts first; extra columns are not read; an empty table writes no blocks.
 
 from __future__ import annotations
 
+import codecs
 import os
+import string
 import struct
 import zlib
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.chunks import Recent, join_by_position, table_for
+from cartwheel.llm.chunks import FlatTable, gather, join_by_position, table_for
 from cartwheel.llm.common import slices, stored
 
 TOKENIZER = "word_bpe_49k.json"
@@ -44,7 +47,12 @@ BLOCK_TOKENS = 1 << 20
 RAW_SCHEMA = "part int, seq long, doc_ids array<long>, lens array<int>, raw binary"
 BLOCK_SCHEMA = "part int, seq long, start long, doc_ids array<long>, lens array<int>, payload binary"
 DIGEST_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
-_MODELS: dict = {}
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha())
+PROBES = ["Word", "the,", "Merge.", "S", "tokenizers", "AND", "don,", "Éléphant.", "straße", "ñandÚ,", "Àÿ", "ªº", "µm", "***", "Ðe(%)."]
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+_HIDDEN = [b for b in range(256) if b not in set(_SHOWN)]
+#: how the vocabulary spells each byte, but for the space, which parts cores
+SPELT = "".join(" " if b == 32 else chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256))
 
 
 def _path(tokenizer: str | None) -> str:
@@ -54,57 +62,86 @@ def _path(tokenizer: str | None) -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-def _word_encoder(tokenizer: str | None):
-    """White space never reaches this tokenizer's model, so words are independent chunks.
+class WordTable:
+    """Ids of words; white space never reaches this tokenizer's model, so words are independent chunks.
 
-    Plain words (letters up to U+00FF, perhaps a full stop or comma after them) go
-    straight to the model's merges, each once whatever its case and the mark: normaliser
-    and splitter do no more to them than lower-case, cut off the mark and spell the
-    bytes, which is tried on a few words first. All others go through the whole tokenizer.
+    Plain words (letters up to U+00FF, perhaps ASCII marks after them) are a core and a
+    tail: normaliser and splitter do no more to them than lower-case, part the two and
+    spell the bytes, which is tried first on every letter and mark. Each core, whatever
+    its case and tail, goes through the library's model once, many in a call, and the
+    tokens that end a word tell them apart. All others, and tails, go through the whole
+    tokenizer.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(_path(tokenizer))
-    whole = lambda words: [e.ids for e in tok.encode_batch(words, add_special_tokens=False)]
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
-    spelt = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(shown))}
-
-    def merge(core):
-        return [t.id for t in tok.model.tokenize(core if core.isascii() else "".join(map(spelt.get, core.encode())))]
-
-    cores = Recent(60_000)
-    marks = {m: merge(m) for m in ".,"}
-
-    def direct(words):
-        split = [(w[:-1].lower(), marks[w[-1]]) if w[-1] in ".," else (w.lower(), None) for w in words]
-        names = [core for core, _ in split]
-        found = cores.find(names)
-        out = []
-        for core, ids, (_, mark) in zip(names, found, split):
-            if ids is None:
-                ids = cores.young.get(core)
-                if ids is None:
-                    ids = cores.young[core] = merge(core) if core else []
-            out.append(ids + mark if mark else ids)
-        cores.turn()
-        return out
-
-    def plain(word):
-        core = word[:-1] if word[-1:] in (".", ",") else word
-        return core.isalpha() and max(core) <= "\xff"
-
-    probes = ["Word", "the,", "Merge.", "S", "tokenizers", "AND", "don,", "Éléphant.", "straße", "ñandÚ,", "Àÿ", "ªº", "µm"]
-    if whole(probes) != direct(probes):
-        return whole
-
-    def encode(words):
-        rest = [w for w in words if not plain(w)]
-        known = dict(zip(rest, (ids for lo in range(0, len(rest), 1000) for ids in whole(rest[lo:lo + 1000]))))
-        through = iter(direct([w for w in words if w not in known]))
-        return [known[w] if w in known else next(through) for w in words]
 
-    return encode
+    def __init__(self, tokenizer: str | None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tok = Tokenizer.from_file(_path(tokenizer))
+        self.rest, self.cores, self.tails = FlatTable(self._whole), FlatTable(self._merged), FlatTable(self._whole)
+        self.model = Tokenizer(self.tok.model)
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = getattr(self.tok.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for w, i in self.tok.get_vocab().items() if w.endswith(suffix)]] = True
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.marks = "".join(c for c in string.punctuation if c != "'" and not any(c in t for t in added))
+        self.plain = False
+        if suffix and not any(set(t) <= set(LETTERS + self.marks) for t in added):
+            words = pa.array([*PROBES, *(f"{c}n{c}" for c in LETTERS), *(f"The{c}{d}" for c in self.marks for d in ("", c, "."))])
+            want, lens = self._whole(words)
+            flat, offs = self._parted(words)
+            self.plain = np.array_equal(want, flat) and np.array_equal(lens, np.diff(offs))
+
+    def _whole(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, how many each) by the whole tokenizer."""
+        flat, lens = [np.zeros(0, np.int32)], []
+        for lo in range(0, len(words), 1000):
+            got = [e.ids for e in self.tok.encode_batch_fast(words[lo:lo + 1000].to_pylist(), add_special_tokens=False)]
+            lens += map(len, got)
+            flat.append(np.fromiter(chain.from_iterable(got), np.int32))
+        return np.concatenate(flat), np.array(lens, np.int64)
+
+    def _merged(self, cores: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, how many each) by the model alone."""
+        flat, lens = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(cores), 5000):
+            part = cores[lo:lo + 5000]
+            text = codecs.charmap_decode(" ".join(part.to_pylist()).encode(), "strict", SPELT)[0]
+            ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) != len(part):  # a byte the vocabulary lacks
+                ids, n = self._whole(part)
+            else:
+                n = np.diff(ends, prepend=-1)
+            flat.append(ids)
+            lens.append(n)
+        return np.concatenate(flat), np.concatenate(lens)
+
+    def _parted(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        core, tail = pc.utf8_rtrim(words, self.marks), pc.utf8_ltrim(words, LETTERS)
+        size = [pc.binary_length(x).to_numpy() for x in (words, core, tail)]
+        other = pa.array(size[1] + size[2] != size[0])  # not letters, then marks
+        core, tail = (pc.if_else(other, "", x).dictionary_encode() for x in (pc.utf8_lower(core), tail))
+        tables = [self.cores.lookup(core.dictionary), self.tails.lookup(tail.dictionary)]
+        rest = words.filter(other)
+        if len(rest):
+            tables.append(self.rest.lookup(rest))
+        # two pieces a word: its core, or all of it, and its tail
+        first = core.indices.to_numpy().astype(np.int64)
+        second = tail.indices.to_numpy() + len(core.dictionary)
+        first[other.to_numpy(zero_copy_only=False)] = len(core.dictionary) + len(tail.dictionary) + np.arange(len(rest))
+        piece = np.stack((first, second), 1).ravel()
+        base = np.cumsum([0, *(len(f) for f, _ in tables)])
+        starts = np.concatenate([o[:-1] + b for (_, o), b in zip(tables, base)])
+        lens = np.concatenate([np.diff(o) for _, o in tables])
+        flat, offs = gather(np.concatenate([f for f, _ in tables]), starts[piece], lens[piece])
+        return flat, offs[::2]
+
+    def lookup(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(flat int32 ids, offsets) of distinct ``words`` in their order."""
+        return self._parted(words) if self.plain else self.rest.lookup(words)
 
 
 # --- range asymmetric numeral system -------------------------------------------------
@@ -226,7 +263,7 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", to
     def run(batches):
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
-        table = table_for(("tokenizers", _path(tokenizer)), lambda: _word_encoder(tokenizer))
+        table = table_for(("tokenizers", _path(tokenizer)), lambda: WordTable(tokenizer))
         held, names, lens, seq = [], [], [], 0
 
         def block():
@@ -236,15 +273,17 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", to
                  pa.array([lens], pa.list_(pa.int32())), pa.array([_pack(ids)], pa.binary())],
                 ["part", "seq", "doc_ids", "lens", "raw"])
 
-        for b in slices(batches, "text", 3 << 20):
+        for b in slices(batches, "text", 8 << 20):
             lists = pc.ascii_split_whitespace(pc.fill_null(b.column("text"), "").cast(pa.string()))
             ids, offs = join_by_position(lists, table, end_id)
-            held.append(ids)
-            names += b.column("doc_id").to_pylist()
-            lens += np.diff(offs).tolist()
-            if sum(map(len, held)) >= block_tokens:
-                yield block()
-                held, names, lens, seq = [], [], [], seq + 1
+            cuts = np.flatnonzero(np.diff(offs[:-1] // block_tokens)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, b.num_rows]):
+                held.append(ids[offs[lo]:offs[hi]])
+                names += b.column("doc_id").slice(lo, hi - lo).to_pylist()
+                lens += np.diff(offs[lo:hi + 1]).tolist()
+                if sum(map(len, held)) >= block_tokens:
+                    yield block()
+                    held, names, lens, seq = [], [], [], seq + 1
         if names:
             yield block()
 

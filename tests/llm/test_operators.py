@@ -92,6 +92,69 @@ def test_token_digests_stay_with_the_decoder(spark, docs, tmp_path, capsys):
     assert capsys.readouterr().out.count("MapInArrow") == 1
 
 
+def test_words_reach_the_model_once_and_many_in_a_call():
+    """Cores are told apart by the tokens that end a word; case and marks make no new call."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.calls, self.words = inner, 0, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.calls, self.words = self.calls + 1, self.words + sum(len(t.split()) for t in texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    table = token_output.WordTable(None)
+    assert table.plain
+    rng = random.Random(4)
+    cores = sorted({"".join(rng.choices("abdeinorstéßñ", k=rng.randint(2, 9))) for _ in range(4000)})
+    words = [*cores, *(c.capitalize() + "," for c in cores if c[0] != "ß"), *(c.upper() + "***" for c in cores if "ß" not in c), "", "*", "Don't", "a.b",
+             "x<|endoftext|>y", "e\u0301t", "12", "日本", "İ", "ΟΔΟΣ", "'s", "--", "\u00ad"]
+    table.model = model = Counted(table.model)
+    for _ in range(2):
+        flat, offs = table.lookup(pa.array(words))
+        for k, w in enumerate(words):
+            assert flat[offs[k]:offs[k + 1]].tolist() == tok.encode(w, add_special_tokens=False).ids, w
+    assert model.words <= len(cores) and model.calls <= 1
+
+
+def test_flat_table_is_bounded():
+    import pyarrow as pa
+    from cartwheel.llm.chunks import FlatTable
+
+    calls = []
+
+    def encode(chunks):
+        calls.extend(chunks.to_pylist())
+        lens = np.array([len(c) for c in chunks.to_pylist()], np.int64)
+        return np.array([ord(x) for c in chunks.to_pylist() for x in c], np.int32), lens
+
+    def check(chunks):
+        flat, offs = table.lookup(pa.array(chunks, pa.string()))
+        assert ["".join(map(chr, flat[a:b])) for a, b in zip(offs[:-1], offs[1:])] == chunks
+
+    table = FlatTable(encode, max_entries=100, max_bytes=5_000)
+    for k in range(40):
+        check(["", "often", *(f"w{k}-{j}" for j in range(30))])
+        assert len(table.names) <= 100 and table.names.nbytes <= 5_000
+    check([f"v{j}" for j in range(500)])  # more at once than are kept
+    assert calls.count("often") == 1 and "" not in calls and len(table.names) <= 100
+    check(["x" * 9_000, "y"])
+    assert table.names.nbytes <= 5_000
+    check([])
+    check(["y", ""])
+
+
+def test_blocks_end_where_they_are_full(spark):
+    """However much text a task takes at once, a block holds one document more than it may at most."""
+    docs = spark.createDataFrame([(i, "word " * 90) for i in range(200)], "doc_id long, text string").coalesce(1)
+    blocks = token_output.tokenize(docs, block_tokens=1_000).select("part", "seq", "lens").collect()
+    assert all(sum(r.lens) <= 2_000 for r in blocks) and sum(map(len, (r.lens for r in blocks))) == 200
+    assert len({(r.part, r.seq) for r in blocks}) == len(blocks)
+
+
 def test_rans_segments_and_damage():
     ids = np.random.default_rng(1).zipf(1.3, 700_001) % 5000
     freq = token_output.scaled_frequencies(np.bincount(ids, minlength=5000))
