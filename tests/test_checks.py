@@ -181,3 +181,29 @@ def test_checks_declared_by_two_models_count_for_both(spark):
     asked.clear()
     assert rows(Q.declared_check_counts(specs, models, {"base": "fact"}), "check_name", "model", "failures") == plain
     assert sorted(asked) == ["fact", "ref"]
+
+
+def test_checks_are_read_by_the_names_of_the_model_read(spark):
+    """A model that another one selects from under new names: rows, keys and parents are looked up under those."""
+    base = spark.createDataFrame([("a", 1), ("a", -1), ("b", None), (None, 5)], "k string, n long")
+    frames = {"base": base, "fact": base.select("k", F.col("n").alias("m")), "kid": spark.createDataFrame([("a",), ("z",), ("z",), (None,)], "k string")}
+    specs = [Q.CheckSpec("base", "k", "unique"), Q.CheckSpec("base", "n", "expression", ("> 0",)), Q.CheckSpec("base", "n", "not_null"),
+             Q.CheckSpec("base", None, "unique_combination", ("k", "n")), Q.CheckSpec("kid", "k", "relationships", ("base", "k")), Q.CheckSpec("base", "n", "relationships", ("base", "n"))]
+    plain = rows(Q.declared_check_counts(specs, frames.get), "check_name", "failures")
+    assert dict(plain) == {"unique__base__k": 1, "expression__base__n": 1, "not_null__base__n": 1, "unique_combination__base__k+n": 0,
+                           "relationships__kid__k": 2, "relationships__base__n": 0}
+    assert rows(Q.declared_check_counts(specs, frames.get, {"base": ("fact", {"n": "m"})}), "check_name", "failures") == plain
+
+
+def test_relationships_share_the_owners_of_a_unique_key(spark):
+    """A parent key that is checked for uniqueness emits one record a row, with several children and repeated or null keys."""
+    frames = {"p": spark.createDataFrame([(1,), (1,), (2,), (None,)], "k long"), "c": spark.createDataFrame([(1, 3), (3, 2), (3, None)], "a long, b long")}
+    specs = [Q.CheckSpec("p", "k", "unique"), Q.CheckSpec("c", "a", "relationships", ("p", "k")), Q.CheckSpec("c", "b", "relationships", ("p", "k"))]
+    assert {r.check_name: r.failures for r in Q.declared_check_counts(specs, frames.get).collect()} == {"unique__p__k": 1, "relationships__c__a": 2, "relationships__c__b": 1}
+    counted = dict(enumerate(specs[:2]))
+    assert Q._tags("p", counted, Q._key_groups(counted)).count("named_struct") == 1
+
+
+def test_packed_keys_travel_as_bytes_or_as_text(spark):
+    df = spark.createDataFrame([("12345",), ("123456",), ("no",)], "k string").select("k", packed_key("k").alias("p"))
+    assert all((r.p.digest is None) != (r.p.text is None) for r in df.collect())
