@@ -192,7 +192,7 @@ def test_checks_are_read_by_the_names_of_the_model_read(spark):
     plain = rows(Q.declared_check_counts(specs, frames.get), "check_name", "failures")
     assert dict(plain) == {"unique__base__k": 1, "expression__base__n": 1, "not_null__base__n": 1, "unique_combination__base__k+n": 0,
                            "relationships__kid__k": 2, "relationships__base__n": 0}
-    assert rows(Q.declared_check_counts(specs, frames.get, {"base": ("fact", {"n": "m"})}), "check_name", "failures") == plain
+    assert rows(Q.declared_check_counts(specs, frames.get, {"base": Q.RowsIn("fact", {"n": "m"})}), "check_name", "failures") == plain
 
 
 def test_relationships_share_the_owners_of_a_unique_key(spark):
@@ -204,6 +204,23 @@ def test_relationships_share_the_owners_of_a_unique_key(spark):
     assert Q._tags("p", counted, Q._key_groups(counted)).count("named_struct") == 1
 
 
+def test_checks_of_marked_rows(spark):
+    """A model whose rows are the marked ones of another: its checks see those alone, a key that both check is counted for each."""
+    fact = spark.createDataFrame([("a", 1, True), ("a", 1, False), ("b", 2, True), ("b", 3, True), (None, None, True), (None, None, False), ("c", -1, False)], "k string, n long, line boolean")
+    frames = {"fact": fact, "base": fact.where("line").drop("line"), "ref": spark.createDataFrame([(1,)], "n long")}
+    each = [("k", "unique"), ("k", "not_null"), ("n", "expression", ("> 1",)), ("n", "accepted_values", (1, 2)), ("n", "relationships", ("ref", "n")), (None, "unique_combination", ("k", "n"))]
+    specs = [Q.CheckSpec(m, *s) for m in ("base", "fact") for s in each] + [Q.CheckSpec("ref", "n", "relationships", (m, "n")) for m in ("base", "fact")]
+    asked = []
+    plain = rows(Q.declared_check_counts(specs, frames.get), "check_name", "model", "failures")
+    marked = Q.declared_check_counts(specs, lambda m: asked.append(m) or frames[m], {"base": Q.RowsIn("fact", where="line")})
+    assert rows(marked, "check_name", "model", "failures") == plain
+    got = {(r[0], r[1]): r[2] for r in plain}
+    assert (got["unique__base__k", "base"], got["unique__fact__k", "fact"]) == (1, 2)
+    assert sorted(asked) == ["base", "fact", "ref"]    # base only as a parent
+    counted = {0: Q._place(specs[0], {"base": Q.RowsIn("fact", where="line")}), 1: specs[6]}
+    assert set(Q._key_groups(counted).values()) == {1}    # one record a key
+
+
 def test_packed_keys_travel_as_bytes_or_as_text(spark):
     df = spark.createDataFrame([("12345",), ("123456",), ("no",)], "k string").select("k", packed_key("k").alias("p"))
     assert all((r.p.digest is None) != (r.p.text is None) for r in df.collect())

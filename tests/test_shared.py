@@ -18,11 +18,30 @@ def test_shared_models_hold_the_same_rows(spark):
     own, shared = Models(spark, SF_SMOKE), Models(spark, SF_SMOKE, shared=True)
     for name in ("stg_order_items", "int_order_items_enriched", "fct_order_items", "fct_orders", "int_events_sessionized", "fct_user_events",
                  "fct_sessions", "rpt_daily_revenue", "rpt_daily_funnel", "rpt_user_cohort_retention"):
-        a, b = getattr(own, name), getattr(shared, name)
+        a, b = getattr(own, name), getattr(shared, name).drop("_is_line")
         assert [(f.name, f.dataType) for f in a.schema] == [(f.name, f.dataType) for f in b.schema], name
         assert rows(a) == rows(b), name
 
 
+def test_one_row_of_each_line_is_marked_whatever_repeats(spark):
+    """Lines read from the enriched rows are the staged lines, with repeated and null headers, products and lines."""
+    from cartwheel.plans.intermediate import int_order_items_enriched
+    day = lambda d: dt.date(2026, 8, d)
+    null = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
+    items = spark.createDataFrame([("a", 1, 1, day(17)), ("a", 1, 1, day(17)), ("b", 1, 2, day(18)), ("c", 2, 1, None), ("d", None, 1, day(17)), ("e", None, None, day(17)), (None, 3, 9, day(17))],
+                                  "order_item_key string, order_id long, product_id long, _load_generation date").select(
+        "*", *null("long", "order_item_id", "user_id", "inventory_item_id"), *null("string", "order_item_status"), *null("decimal(18,9)", "sale_price"),
+        *null("date", "ordered_date"), *null("timestamp", "ordered_at", "shipped_at", "delivered_at", "returned_at"))
+    heads = spark.createDataFrame([("h", 1, day(17)), ("h", 1, day(17)), ("i", 1, day(18)), ("j", 2, None), ("k", None, day(17)), ("l", 3, day(17))], "order_key string, order_id long, _load_generation date").select(
+        "*", *null("string", "order_status"), *null("long", "item_count"))
+    goods = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,)], "product_id long").select(
+        "product_id", *null("long", "distribution_center_id"), *null("decimal(18,9)", "unit_cost", "retail_price"), *null("string", "product_name", "brand_name", "category_name", "department_name"))
+    cols = ("order_item_key", "order_id", "product_id", "order_key")
+    own, shared = int_order_items_enriched(items, heads, goods), int_order_items_enriched(items, heads, goods, shared=True)
+    assert rows(shared, *cols) == rows(own, *cols) and own.count() == 2 * 2 * 3 + 1 + 3 + 3 + 1 + 1
+    assert rows(shared.where("_is_line"), *cols[:3]) == rows(items, *cols[:3])
+
+
 def test_join_near_equals_a_join_whatever_repeats_or_is_null(spark):
     lines = spark.createDataFrame([(o, p, i) for i, (o, p) in enumerate([(1, 1), (1, 1), (1, 2), (2, 1), (2, 9), (None, 1), (None, 1), (None, 2), (3, None), (None, None)])],
                                   "o long, p long, i long").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o")
@@ -30,6 +49,10 @@ def test_join_near_equals_a_join_whatever_repeats_or_is_null(spark):
     for how in ("left", "inner"):
         near = join_near(lines, dim, "p", "o", how)
         assert rows(near, "o", "p", "i", "s", "n") == rows(lines.join(dim, "p", how), "o", "p", "i", "s", "n"), how
+        more = lines.select("o", "p").union(spark.createDataFrame([(8, 1), (None, 7), (9, None)], "o long, p long"))
+        given = join_near(lines, dim, "p", "o", how, pairs=more, copy="c")
+        assert rows(given.drop("c"), "o", "p", "i", "s", "n") == rows(near, "o", "p", "i", "s", "n")
+        assert sorted(r.c for r in given.where("i = 2").collect()) == [0, 1, 2]
     with no_broadcast(spark):
         p = plan(join_near(lines, dim, "p", "o"))
     dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
@@ -77,7 +100,7 @@ def test_sums_apart_equal_sums_with_the_orders(spark):
         "ordered_date date, product_id long, order_key string, user_id long, v long, order_item_status string").select(
         "*", F.col("v").cast("decimal(18,9)").alias("net_revenue"), (F.col("v") / 2).cast("decimal(18,9)").alias("net_gross_profit"), F.hash("order_key").cast("long").alias("order_id"))
     products = spark.createDataFrame([(1, "Men"), (2, "Women"), (2, "Men"), (3, None)], "product_id long, department_name string")
-    a, b = daily_revenue_base(items, products), daily_revenue_base(items, products, apart=True)
+    a, b = daily_revenue_base(items, products), daily_revenue_base(items, products, items)
     assert a.columns == b.columns and rows(a) == rows(b) and a.count() == 4
     assert "buyers" not in plan(b.select("ordered_date", "net_revenue"))
 
